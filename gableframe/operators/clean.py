@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..config import BroadcastBound, CleanSettings
 from ..functions.numbers import lenient_double
 from ..functions.text import normalize_city, normalize_metro, replace_mapped
+from ..sources.workspace import materialize
 from .lookup import lookup_join
 
 
@@ -61,12 +62,13 @@ def lookup_usable(df: DataFrame, lookup: DataFrame | None, cfg: CleanSettings) -
 def join_locations(
     df: DataFrame, lookup: DataFrame | None, cfg: CleanSettings, bound: BroadcastBound
 ) -> DataFrame:
-    """Coordinates for normalised city names by null-safe left join."""
+    """Coordinates for normalised city names by null-safe left join. The reduced
+    lookup is written once: it is counted, then joined, on a stream many times."""
     if not lookup_usable(df, lookup, cfg):
         return df
     return lookup_join(
         df,
-        lookup_keep_first(lookup, cfg),
+        materialize(lookup_keep_first(lookup, cfg), "lookup"),
         cfg.city_column,
         cfg.metro_column,
         [cfg.latitude_column, cfg.longitude_column],

@@ -6,10 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import ScoreSettings
+from ..config import BroadcastBound, ScoreSettings
 from ..schema import DEMOGRAPHIC_NAMES, OPTIONAL_FIELDS, REQUEST_FIELDS, REQUIRED_FIELDS
+from ..sources.workspace import materialize
+from .lookup import lookup_join
 
-_V, _KIND = "__request", "__kinds"
+_V = "__request"
 _NULL_KIND = "VOID"
 
 
@@ -101,6 +103,16 @@ def batch_sizes(df: DataFrame, batch_column: str, cfg: ScoreSettings) -> DataFra
     return sizes.withColumn("accepted", F.col("n_records").between(cfg.min_batch, cfg.max_batch))
 
 
+def accepted_batches(
+    df: DataFrame, batch_column: str, cfg: ScoreSettings, bound: BroadcastBound
+) -> DataFrame:
+    """Rows of the batches within the size limits. The sizes are counted with
+    partial counts and joined as a lookup, so a huge batch is spread out."""
+    sizes = materialize(batch_sizes(df, batch_column, cfg), "batch-sizes")
+    joined = lookup_join(df, sizes, batch_column, batch_column, ["accepted"], bound)
+    return joined.where("accepted").drop("accepted")
+
+
 def explode_batches(
     df: DataFrame, batch_column: str, records_column: str, cfg: ScoreSettings
 ) -> tuple[DataFrame, DataFrame]:

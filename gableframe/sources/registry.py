@@ -10,19 +10,16 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.labels import metric_key
 from .workspace import path_exists
 
-ARTIFACT = T.StructType.fromDDL(
+ARTIFACT = (
     "name string, type string, version int, job string, path string, description string, "
     "metadata map<string,string>, aliases array<string>, tags array<string>, "
     "inputs array<string>, created_at timestamp"
 )
-RUN = T.StructType.fromDDL(
-    "step string, started_at timestamp, seconds double, status string, n_rows bigint, error string"
-)
+RUN = "step string, started_at timestamp, seconds double, status string, n_rows bigint, error string"
 
 
 def numbered(records: DataFrame, order: Sequence[str], known: DataFrame | None = None) -> DataFrame:
@@ -67,7 +64,7 @@ class Registry:
         self.spark = spark
         self.folder = folder.rstrip("/")
 
-    def _read(self, name: str, schema: T.StructType) -> DataFrame:
+    def _read(self, name: str, schema: str) -> DataFrame:
         path = f"{self.folder}/{name}"
         if not path_exists(self.spark, path):
             return self.spark.createDataFrame([], schema)
@@ -108,7 +105,7 @@ class Registry:
             list(aliases),
             list(tags),
             list(inputs),
-            datetime.now(timezone.utc).replace(tzinfo=None),
+            datetime.now(timezone.utc),
         )
         record = self.spark.createDataFrame([row], ARTIFACT)
         record.coalesce(1).write.mode("append").parquet(f"{self.folder}/artifacts")
@@ -146,7 +143,7 @@ class Registry:
         """Time a job step and append one row to the run log, also when it fails.
         The body may set ``rows`` on the yielded dict."""
         note: dict[str, int | None] = {"rows": None}
-        started, clock = datetime.now(timezone.utc).replace(tzinfo=None), time.perf_counter()
+        started, clock = datetime.now(timezone.utc), time.perf_counter()
         status, message = "finished", None
         try:
             yield note

@@ -8,9 +8,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import SPLITS, CleanSettings
-from ..schema import LOOKUP_TYPES, RAW_TYPES, REQUIRED_FIELDS, require_columns
+from ..schema import LOOKUP_TYPES, RAW_TYPES, REQUEST_FIELDS, REQUIRED_FIELDS, require_columns
 from .workspace import path_exists
 
+# Spellings of a missing value in CSV files.
+MISSING_TEXT = (
+    "",
+    "#N/A",
+    "#N/A N/A",
+    "#NA",
+    "-1.#IND",
+    "-1.#QNAN",
+    "-NaN",
+    "-nan",
+    "1.#IND",
+    "1.#QNAN",
+    "<NA>",
+    "N/A",
+    "NA",
+    "NULL",
+    "NaN",
+    "None",
+    "n/a",
+    "nan",
+    "null",
+)
+# A header line, and quotes doubled inside quoted text.
+_CSV = {"header": True, "escape": '"'}
+
 
 def read_csv(
     spark: SparkSession,
@@ -21,19 +46,21 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a header, typed by column *name*, in whatever order the file has.
 
-    Unknown columns and ``keep_text`` stay text. Other columns are cast strictly:
+    The usual spellings of a missing value are null. Unknown columns and ``keep_text`` stay text. Other columns are cast strictly:
     bad text fails the job instead of turning into nulls. ``row_id`` adds the
     place of the row in the files (path, block, row), which orders rows as they
     were written without a shuffle.
     """
     if not path_exists(spark, path):
         raise FileNotFoundError(f"Input not found: {path}")
-    reader = spark.read.option("header", True).option("enforceSchema", False)
-    raw = reader.option("ignoreLeadingWhiteSpace", False).csv(path)
-    out = [
-        F.col(f"`{c}`").cast(types[c]).alias(c) if c in types and c not in keep_text else F.col(f"`{c}`")
-        for c in raw.columns
-    ]
+    raw = spark.read.options(**_CSV, enforceSchema=False).csv(path)
+    out = []
+    for name in raw.columns:
+        text = F.col(f"`{name}`")
+        value = F.when(~text.isin(*MISSING_TEXT), text)
+        if name in types and name not in keep_text:
+            value = value.cast(types[name])
+        out.append(value.alias(name))
     if row_id and row_id not in raw.columns:
         out.append(_place().alias(row_id))
     return raw.select(*out)
@@ -56,10 +83,12 @@ def _place():
     )
 
 
-def read_table(spark: SparkSession, path: str, **csv_options) -> DataFrame:
+def read_table(
+    spark: SparkSession, path: str, types: Mapping[str, str] = RAW_TYPES
+) -> DataFrame:
     """CSV by its file ending, Parquet otherwise; always with row ids."""
     if path.rstrip("/").endswith((".csv", ".csv.gz")):
-        return read_csv(spark, path, **csv_options)
+        return read_csv(spark, path, types)
     return read_parquet(spark, path, row_id="row_id")
 
 
@@ -68,16 +97,14 @@ def read_lookup(spark: SparkSession, path: str | None, cfg: CleanSettings) -> Da
     it lacks one of its three columns."""
     if path is None or not path_exists(spark, path):
         return None
-    types = {**LOOKUP_TYPES}
-    df = read_table(spark, path, types=types) if path.endswith(".csv") else read_table(spark, path)
+    df = read_table(spark, path, types=LOOKUP_TYPES)
     needed = {cfg.metro_column, cfg.latitude_column, cfg.longitude_column}
     return df if needed <= set(df.columns) else None
 
 
 def read_upload(spark: SparkSession, path: str) -> DataFrame:
     """CSV for batch scoring; the four required columns must be there."""
-    types = {name: kind for name, kind in RAW_TYPES.items()}
-    df = read_csv(spark, path, types=types)
+    df = read_csv(spark, path, types={**RAW_TYPES, **REQUEST_FIELDS})
     require_columns(df, REQUIRED_FIELDS, "Upload")
     return df
 
@@ -93,7 +120,8 @@ def write_splits(df: DataFrame, path: str, split_column: str = "split") -> None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(**_CSV, **spaces).csv(path)
 
 
 def read_splits(
