@@ -10,12 +10,21 @@ from pyspark.sql import types as T
 _NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity|nan)\s*$"
 
 
+def number_in_text(value: Column) -> Column:
+    """Text as a double; null when it is not a number. The pattern runs only on
+    the few texts that Spark reads as a number and others do not."""
+    number = value.try_cast("double")
+    ends = F.substring(F.trim(value), -1, 1).isin("d", "D", "f", "F")
+    doubtful = number.isNotNull() & (ends | F.contains(F.lower(value), F.lit("x")))
+    return F.when(~doubtful | value.rlike(_NUMBER), number)
+
+
 def lenient_double(df: DataFrame, column: str) -> Column:
     """The column as a double; text that is not a number becomes null."""
     value = F.col(f"`{column}`")
-    if not isinstance(df.schema[column].dataType, T.StringType):
-        return value.cast("double")
-    return F.when(value.rlike(_NUMBER), F.trim(value).try_cast("double"))
+    if isinstance(df.schema[column].dataType, T.StringType):
+        return number_in_text(value)
+    return value.cast("double")
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:

@@ -7,35 +7,44 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import BroadcastBound, ScoreSettings
+from ..functions.numbers import number_in_text
 from ..schema import DEMOGRAPHIC_NAMES, OPTIONAL_FIELDS, REQUEST_FIELDS, REQUIRED_FIELDS
 from ..sources.workspace import materialize
 from .lookup import lookup_join
 
-_V = "__request"
+_V, _KEYS, _READ = "__sent", "__keys", "__read"
 _NULL_KIND = "VOID"
 
 
-def _field(name: str) -> Column:
-    return F.try_variant_get(_V, f"$.{name}", "variant")
+# One pass over the JSON text: text fields keep their JSON type as a variant,
+# numbers arrive as they are written.
+_SENT = ", ".join(f"{n} {'variant' if t == 'string' else 'string'}" for n, t in REQUEST_FIELDS.items())
 
 
-def _type_problem(name: str, data_type: str) -> Column:
-    """A reason when a field that was sent has a value of the wrong type.
+def _read(name: str, data_type: str) -> Column:
+    """The value of a field; null when it was not sent or has the wrong type.
 
     Text fields take text only. Numbers also take numeric text; an integer must
-    have no fraction. Null is allowed in optional fields.
+    have no fraction.
     """
-    kind = F.schema_of_variant(_field(name))
-    number = F.try_variant_get(_V, f"$.{name}", "double")
+    value = F.col(f"{_V}.{name}")
     if data_type == "string":
-        good = kind == "STRING"
-    elif data_type == "bigint":
-        good = number.isNotNull() & (number == F.floor(number))
+        return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string"))
+    number = number_in_text(value)
+    if data_type == "bigint":
+        return F.when(number == F.floor(number), number.try_cast("bigint"))
+    return number
+
+
+def _type_reason(name: str) -> Column:
+    """A reason when a field was sent but could not be read. Null is a value for
+    optional fields only."""
+    unread = F.col(f"{_READ}.{name}").isNull()
+    if name in REQUIRED_FIELDS:
+        sent = F.array_contains(_KEYS, name)
     else:
-        good = number.isNotNull()
-    if name not in REQUIRED_FIELDS:
-        good = good | (kind == _NULL_KIND)
-    return F.when(_field(name).isNotNull() & ~F.coalesce(good, F.lit(False)), F.lit(f"type:{name}"))
+        sent = F.col(f"{_V}.{name}").isNotNull()
+    return F.when(sent & unread, F.lit(f"type:{name}"))
 
 
 def parse_requests(df: DataFrame, json_column: str) -> DataFrame:
@@ -46,30 +55,32 @@ def parse_requests(df: DataFrame, json_column: str) -> DataFrame:
     absent required field, ``unknown:f`` for a field outside the contract,
     ``type:f`` for a wrong type, ``date:date`` for text that is no date.
     """
-    parsed = df.withColumn(_V, F.try_parse_json(json_column))
-    keys = F.json_object_keys(json_column)
-    is_object = F.startswith(F.schema_of_variant(_V), F.lit("OBJECT")) & keys.isNotNull()
     required = F.array(*[F.lit(n) for n in REQUIRED_FIELDS])
     allowed = F.array(*[F.lit(n) for n in REQUEST_FIELDS])
-    missing = F.transform(F.array_except(required, keys), lambda n: F.concat(F.lit("missing:"), n))
-    unknown = F.transform(F.array_except(keys, allowed), lambda n: F.concat(F.lit("unknown:"), n))
-    wrong = F.array_compact(F.array(*[_type_problem(n, t) for n, t in REQUEST_FIELDS.items()]))
-    date_text = F.try_variant_get(_V, "$.date", "string")
-    bad_date = F.when(
-        (F.schema_of_variant(_field("date")) == "STRING") & F.try_to_timestamp(date_text).isNull(),
-        F.array(F.lit("date:date")),
-    ).otherwise(F.array().cast("array<string>"))
-    reasons = F.when(
-        F.coalesce(is_object, F.lit(False)),
-        F.sort_array(F.concat(missing, unknown, wrong, bad_date)),
-    ).otherwise(F.array(F.lit("invalid")))
-    values = F.struct(
-        *[F.try_variant_get(_V, f"$.{n}", t).alias(n) for n, t in REQUEST_FIELDS.items()]
+    read = F.struct(*[_read(n, t).alias(n) for n, t in REQUEST_FIELDS.items()])
+    parsed = df.withColumn(_V, F.from_json(json_column, _SENT)).withColumn(
+        _KEYS, F.json_object_keys(json_column)
+    )
+    parsed = parsed.withColumn(_READ, read)
+
+    def told(kind: str, names: Column) -> Column:
+        return F.transform(names, lambda n: F.concat(F.lit(f"{kind}:"), n))
+
+    date = F.col(f"{_READ}.date")
+    bad_date = F.when(date.isNotNull() & F.try_to_timestamp(date).isNull(), F.lit("date:date"))
+    reasons = F.when(F.col(_KEYS).isNull(), F.array(F.lit("invalid"))).otherwise(
+        F.sort_array(
+            F.concat(
+                told("missing", F.array_except(required, _KEYS)),
+                told("unknown", F.array_except(_KEYS, allowed)),
+                F.array_compact(F.array(*[_type_reason(n) for n in REQUEST_FIELDS], bad_date)),
+            )
+        )
     )
     return (
         parsed.withColumn("reject_reasons", reasons)
-        .withColumn("request", F.when(F.size("reject_reasons") == 0, values))
-        .drop(_V)
+        .withColumn("request", F.when(F.size("reject_reasons") == 0, F.col(_READ)))
+        .drop(_V, _KEYS, _READ)
     )
 
 

@@ -21,18 +21,33 @@ SETTINGS = Settings().with_(
 )
 
 
+# Column types of the driver's tables, so that no job infers them.
+TYPES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TYPES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Price and market columns per order; money is summed exactly as decimals."""
+    """Price and market columns per order. Money is summed exactly: price and
+    discount have two decimals, their product is a whole number of 1/100 cents."""
     line = table(spark, sf_dir, "lineitem")
-    money = F.col("l_extendedprice").cast("decimal(12,2)") * (
-        F.lit(1) - F.col("l_discount").cast("decimal(4,2)")
-    )
+    paid = F.rint(F.col("l_extendedprice") * 100) * (100 - F.rint(F.col("l_discount") * 100))
+    money = F.sum(paid.cast("bigint").cast("decimal(18,0)"))
     return line.groupBy("l_orderkey").agg(
-        F.sum(money).cast("double").alias("price"),
+        (money.cast("double") / 10000).alias("price"),
         F.max("l_extendedprice").alias("median_list_price"),
         F.min("l_extendedprice").alias("median_sale_price"),
         F.sum("l_quantity").alias("homes_sold"),
