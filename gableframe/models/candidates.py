@@ -7,8 +7,8 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel, Transformer
-from pyspark.ml.feature import Imputer, SQLTransformer, StandardScaler, VectorAssembler
+from pyspark.ml import PipelineModel, Transformer
+from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,34 +30,37 @@ class LabelStats:
     deviation: float
 
 
-def fit_preparation(train: DataFrame, columns: Sequence[str]) -> PipelineModel:
-    """Mean imputation fitted on train, then one feature vector.
+def _literal(value: float) -> str:
+    return f"CAST('{value!r}' AS DOUBLE)"
+
+
+def fit_preparation(
+    train: DataFrame, columns: Sequence[str], label: str = LABEL
+) -> tuple[PipelineModel, LabelStats]:
+    """Mean imputation fitted on train, then one feature vector; and what the
+    learners need to know of the label. One pass over train.
 
     Columns without any value on train have no mean and are left out.
     """
-    counts = train.agg(
-        *[F.count_if(~F.isnan(F.col(f"`{c}`").cast("double"))).alias(c) for c in columns]
+    number = {c: F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")) for c in columns}
+    row = train.agg(
+        F.count(label).alias("n"),
+        F.avg(label).alias("mean"),
+        F.stddev_pop(label).alias("deviation"),
+        *[F.avg(value).alias(f"mean {c}") for c, value in number.items()],
     ).first()
-    usable = [c for c in columns if counts[c] > 0]
-    if not usable:
+    if not row["n"]:
+        raise ValueError("Train has no row with a target.")
+    means = {c: row[f"mean {c}"] for c in columns if row[f"mean {c}"] is not None}
+    if not means:
         raise ValueError("No feature column has a value on train.")
-    filled = [f"{c}__filled" for c in usable]
-    # Text in an arithmetic-only stage: widen integers so that one Imputer takes all.
-    widen = SQLTransformer(
-        statement="SELECT *, "
-        + ", ".join(f"CAST(`{c}` AS DOUBLE) AS `{c}__number`" for c in usable)
-        + " FROM __THIS__"
+    filled = ", ".join(
+        f"COALESCE(NANVL(CAST(`{c}` AS DOUBLE), CAST(NULL AS DOUBLE)), {_literal(mean)}) AS `{c}__filled`"
+        for c, mean in means.items()
     )
-    imputer = Imputer(strategy="mean", inputCols=[f"{c}__number" for c in usable], outputCols=filled)
-    assembler = VectorAssembler(inputCols=filled, outputCol=FEATURES)
-    return Pipeline(stages=[widen, imputer, assembler]).fit(train)
-
-
-def label_stats(train: DataFrame, label: str = LABEL) -> LabelStats:
-    row = train.agg(F.count(label), F.avg(label), F.stddev_pop(label)).first()
-    if not row[0]:
-        raise ValueError("Train has no row with a target.")
-    return LabelStats(*row)
+    imputer = SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__")
+    assembler = VectorAssembler(inputCols=[f"{c}__filled" for c in means], outputCol=FEATURES)
+    return PipelineModel(stages=[imputer, assembler]), LabelStats(row["n"], row["mean"], row["deviation"])
 
 
 def build_estimator(name: str, cfg: TrainSettings, stats: LabelStats):
@@ -71,7 +74,7 @@ def build_estimator(name: str, cfg: TrainSettings, stats: LabelStats):
     scaled = {"featuresCol": SCALED, "labelCol": LABEL, "solver": "normal"}
     if name == "dummy":
         return SQLTransformer(
-            statement=f"SELECT *, CAST('{stats.mean!r}' AS DOUBLE) AS prediction FROM __THIS__"
+            statement=f"SELECT *, {_literal(stats.mean)} AS prediction FROM __THIS__"
         )
     if name == "linear_regression":
         return LinearRegression(**scaled, regParam=0.0)
@@ -156,12 +159,12 @@ def prepare(features: DataFrame, cfg: Settings, columns: Sequence[str] | None =
         F.col(split).alias("split"), label.alias(LABEL), *[F.col(f"`{c}`") for c in columns]
     )
     workspace(features.sparkSession)  # a checkpoint folder for the boosting lineage
-    preparation = fit_preparation(rows.where("split = 'train'"), columns)
+    preparation, stats = fit_preparation(rows.where("split = 'train'"), columns)
     frame = preparation.transform(rows).select("split", LABEL, FEATURES)
     frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
     train = frame.where("split = 'train'")
     scaler = StandardScaler(inputCol=FEATURES, outputCol=SCALED, withMean=True).fit(train)
-    return Prepared(frame, preparation, scaler, tuple(columns), label_stats(train))
+    return Prepared(frame, preparation, scaler, tuple(columns), stats)
 
 
 def fit_stages(name: str, prepared: Prepared, cfg: TrainSettings) -> list[Transformer]:

@@ -32,7 +32,7 @@ class Artifacts:
 
 def apply_model(features: DataFrame, model: PipelineModel, cfg: ScoreSettings) -> DataFrame:
     """The prediction as a column; the model's helper columns are dropped."""
-    helpers = [f"{c}__{end}" for c in used_columns(model) for end in ("number", "filled")]
+    helpers = [f"{c}__filled" for c in used_columns(model)]
     scored = model.transform(features).drop(*helpers, FEATURES, SCALED)
     return scored.withColumnRenamed("prediction", cfg.prediction_column)
 
