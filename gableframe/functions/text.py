@@ -15,7 +15,9 @@ def normalize_city(value: Column) -> Column:
     One regular expression per row: collapsing first and trimming the single
     spaces afterwards is the same as stripping first. Null stays null.
     """
-    text = F.translate(F.lower(value.cast("string")), "–—", "--")
+    text = F.lower(value.cast("string"))
+    for dash in "–—":
+        text = F.replace(text, F.lit(dash), F.lit("-"))
     return F.trim(F.regexp_replace(text, _SPACES, " "))
 
 
