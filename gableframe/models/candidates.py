@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -194,12 +195,17 @@ def predict_all(prepared: Prepared, fitted: Mapping[str, Sequence[Transformer]])
 def train_candidates(
     prepared: Prepared, cfg: Settings, names: Sequence[str] | None = None
 ) -> tuple[dict[str, PipelineModel], DataFrame]:
-    """Fit every candidate on the same rows; (models, long metrics with gap)."""
+    """Fit every candidate on the same rows; (models, long metrics with gap).
+
+    A few fits run at once: the many short stages of one leave room for others.
+    """
     names = tuple(names or cfg.train.candidates)
     unknown = [n for n in names if n not in NAMES]
     if unknown:
         raise ValueError(f"Unsupported model name: {unknown}")
-    fitted = {name: fit_stages(name, prepared, cfg.train) for name in names}
+    with ThreadPoolExecutor(cfg.train.parallel_fits) as pool:
+        fits = pool.map(lambda name: fit_stages(name, prepared, cfg.train), names)
+        fitted = dict(zip(names, fits, strict=True))
     metrics = candidate_metrics(prepared, fitted)
     return {name: whole_model(prepared, stages) for name, stages in fitted.items()}, metrics
 

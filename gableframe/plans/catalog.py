@@ -133,6 +133,14 @@ def lookup_keep_first(spark, sf):
     return cleaning.lookup_keep_first(metros(spark, sf), SETTINGS.clean)
 
 
+@query
+def lookup_from_file(spark, sf):
+    """The lookup as an ordered CSV file without row ids, read back."""
+    path = scratch_path(spark, "metros") + ".csv"
+    tables.write_csv(metros(spark, sf).orderBy("row_id").drop("row_id"), path)
+    return cleaning.lookup_keep_first(tables.read_lookup(spark, path, SETTINGS.clean), SETTINGS.clean)
+
+
 def _placed(spark, sf):
     return cleaning.merge_locations(
         listings(spark, sf), metros(spark, sf), SETTINGS.clean, SETTINGS.broadcast
@@ -595,6 +603,13 @@ def registry_latest(spark, sf):
     return registry.resolve(_monthly_artifacts(spark, sf)).select("name", "version", "path", "n_rows")
 
 
+@query
+def preferred_artifact(spark, sf):
+    """The first registered name of a list wins; the first one is not there."""
+    names = ["house_ts_tuned_model", "house_ts_eval", "house_ts_train"]
+    return registry.preferred(_monthly_artifacts(spark, sf), names).select("name", "version", "path", "n_rows")
+
+
 @query
 def registry_lineage(spark, sf):
     """Every version has the one before it as its input."""

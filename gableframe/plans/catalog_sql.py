@@ -228,6 +228,7 @@ _BODIES: dict[str, str] = {
         SELECT row_id, CAST(date AS DATE) AS date, split, CAST(year(date) AS INTEGER) AS year,
                CAST(quarter(date) AS INTEGER) AS quarter, CAST(month(date) AS INTEGER) AS month FROM tagged""",
     "lookup_keep_first": "SELECT * FROM lookup",
+    "lookup_from_file": "SELECT * FROM lookup",
     "location_join": "SELECT row_id, city_full, lat, lng FROM placed",
     "unmatched_cities": "SELECT DISTINCT city_full FROM placed WHERE lat IS NULL",
     "dedup_keep_first": """
@@ -333,6 +334,8 @@ _BODIES: dict[str, str] = {
     "registry_latest": """
         SELECT name, version, path, n_rows FROM versions
         QUALIFY row_number() OVER (PARTITION BY name ORDER BY version DESC) = 1""",
+    "preferred_artifact": """
+        SELECT name, version, path, n_rows FROM versions WHERE name = 'house_ts_eval' ORDER BY version DESC LIMIT 1""",
     "registry_lineage": """
         SELECT a.name, a.version, b.name || ':v' || CAST(b.version AS VARCHAR) AS input, 'dataset' AS input_type, b.path AS input_path
         FROM versions a JOIN versions b ON a.name = b.name AND a.version = b.version + 1""",

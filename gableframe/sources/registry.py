@@ -44,9 +44,16 @@ def resolve(artifacts: DataFrame, alias: str = "latest") -> DataFrame:
     return held.withColumn("__rank", F.row_number().over(window)).where("__rank = 1").drop("__rank")
 
 
+def preferred(artifacts: DataFrame, names: Sequence[str], alias: str = "latest") -> DataFrame:
+    """The record of the first of ``names`` that is registered, one row at most:
+    the tuned model if there is one, else the best baseline."""
+    rank = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("name"))
+    return resolve(artifacts.where(rank > 0), alias).orderBy(rank).limit(1)
+
+
 def parents(artifacts: DataFrame) -> DataFrame:
     """Lineage: one row per artifact and input, with the input's own record.
-    Inputs are written ``name:v2`` (or ``name:alias``, which has no one version)."""
+    Inputs are written ``name:v2``."""
     key = F.concat_ws(":v", "name", F.col("version").cast("string"))
     source = artifacts.select(
         key.alias("input"), F.col("type").alias("input_type"), F.col("path").alias("input_path")
@@ -104,7 +111,7 @@ class Registry:
             {k: str(v) for k, v in (metadata or {}).items()},
             list(aliases),
             list(tags),
-            list(inputs),
+            [self._pinned(reference) for reference in inputs],
             datetime.now(timezone.utc),
         )
         record = self.spark.createDataFrame([row], ARTIFACT)
@@ -119,6 +126,14 @@ class Registry:
             raise FileNotFoundError(f"No artifact {reference} in the registry.")
         return found.asDict(recursive=True)
 
+    def _pinned(self, reference: str) -> str:
+        """``name:alias`` as the ``name:vN`` it means now; kept when unknown."""
+        try:
+            found = self.find(reference)
+        except FileNotFoundError:
+            return reference
+        return f"{found['name']}:v{found['version']}"
+
     def log_metrics(self, metrics: DataFrame, job: str) -> None:
         """Append long metrics (model, split, metric, value) under their keys."""
         rows = metrics.select(

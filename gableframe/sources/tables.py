@@ -3,12 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import SPLITS, CleanSettings
-from ..schema import LOOKUP_TYPES, RAW_TYPES, REQUEST_FIELDS, REQUIRED_FIELDS, require_columns
+from ..schema import (
+    LOOKUP_TYPES,
+    RAW_TYPES,
+    REQUEST_FIELDS,
+    REQUIRED_FIELDS,
+    SAMPLE_REQUEST,
+    require_columns,
+)
 from .workspace import path_exists
 
 # Spellings of a missing value in CSV files.
@@ -51,9 +60,8 @@ def read_csv(
     place of the row in the files (path, block, row), which orders rows as they
     were written without a shuffle.
     """
-    if not path_exists(spark, path):
-        raise FileNotFoundError(f"Input not found: {path}")
-    raw = spark.read.options(**_CSV, enforceSchema=False).csv(path)
+    with _missing_is_an_error(path):
+        raw = spark.read.options(**_CSV, enforceSchema=False).csv(path)
     out = []
     for name in raw.columns:
         text = F.col(f"`{name}`")
@@ -67,14 +75,24 @@ def read_csv(
 
 
 def read_parquet(spark: SparkSession, path: str, row_id: str | None = None) -> DataFrame:
-    if not path_exists(spark, path):
-        raise FileNotFoundError(f"Input not found: {path}")
-    df = spark.read.parquet(path)
+    with _missing_is_an_error(path):
+        df = spark.read.parquet(path)
     if row_id and row_id not in df.columns:
         df = df.withColumn(row_id, _place())
     return df
 
 
+@contextmanager
+def _missing_is_an_error(path: str):
+    """A missing input under its usual Python error; the files are listed once."""
+    try:
+        yield
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            raise FileNotFoundError(f"Input not found: {path}") from error
+        raise
+
+
 def _place():
     return F.struct(
         F.col("_metadata.file_path").alias("path"),
@@ -131,16 +149,21 @@ def read_splits(
     split_column: str = "split",
 ) -> DataFrame:
     """The named splits of a stage (partition pruning); all that are absent are
-    listed in the error."""
+    listed in the error. The check reads one row of each partition at most."""
     df = read_parquet(spark, path)
-    absent = [
-        s for s in splits if not path_exists(spark, f"{path.rstrip('/')}/{split_column}={s}")
-    ]
+    absent = [s for s in splits if df.where(F.col(split_column) == s).isEmpty()]
     if absent:
         raise FileNotFoundError(f"Split not found in {path}: {absent}")
     return df.where(F.col(split_column).isin(*splits))
 
 
+def sample_requests(spark: SparkSession) -> DataFrame:
+    """Two complete example requests, for a sample file."""
+    second = {**SAMPLE_REQUEST, "zipcode": 30303, "median_list_price": 455000.0}
+    types = ", ".join(f"{name} {REQUEST_FIELDS[name]}" for name in SAMPLE_REQUEST)
+    return spark.createDataFrame([tuple(r.values()) for r in (SAMPLE_REQUEST, second)], types)
+
+
 def read_feature_names(
     spark: SparkSession, path: str, target: str = "price", not_features: Sequence[str] = ("split", "row_id")
 ) -> list[str]:

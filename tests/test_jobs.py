@@ -14,6 +14,7 @@ from gableframe.sources.tables import (
     read_lookup,
     read_splits,
     read_upload,
+    sample_requests,
     write_csv,
     write_splits,
 )
@@ -86,9 +87,12 @@ def test_scoring_job(spark, project):
 
 
 def test_lineage(project):
-    edges = {(r.name, r.input) for r in reg.parents(project.registry.artifacts()).collect()}
+    artifacts = project.registry.artifacts()
+    edges = {(r.name, r.input) for r in reg.parents(artifacts).collect()}
     assert ("house_ts_processed", "house_ts_raw:v1") in edges
-    assert ("house_ts_best_model", "house_ts_features:latest") in edges
+    assert ("house_ts_best_model", "house_ts_features:v1") in edges
+    names = (CFG.registry.tuned_model, CFG.registry.best_model)
+    assert reg.preferred(artifacts, names).first().path == project.layout.best
 
 
 def test_tuning_job_and_model_choice(spark, project):
@@ -163,6 +167,14 @@ def test_csv_is_typed_by_name_and_keeps_order(spark, tmp_path):
         read_csv(spark, str(path)).collect()
 
 
+def test_sample_file_can_be_uploaded(spark, tmp_path):
+    path = str(tmp_path / "sample.csv")
+    write_csv(sample_requests(spark), path)
+    first, second = read_upload(spark, path).orderBy("zipcode").drop("row_id").collect()
+    assert (first.zipcode, second.zipcode, second.median_list_price) == (30301, 30303, 455000.0)
+    assert first.median_age == 34.8 and len(first) == 37
+
+
 def test_row_order_of_files(spark, tmp_path):
     path = str(tmp_path / "many.csv")
     spark.range(0, 5000, 1, 4).select(F.col("id").alias("price")).write.option("header", True).csv(path)
