@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import ScoreSettings, Settings
 from ..operators.clean import clean, merge_locations, within_price_limit
@@ -87,18 +89,24 @@ def score_records(
 
     No duplicate removal, so every request gives one row. An optional field
     without a value counts as absent and becomes 0; an unmatched place stays
-    missing and is imputed. A request above the price limit gets no prediction
-    but a reason. Works on a stream: there is no aggregation or state.
+    missing and is imputed. A request above the price limit, without a required
+    field or with a date that is none gets no prediction but a reason; it never
+    fails the others. Works on a stream: there is no aggregation or state.
     """
     require_columns(requests, REQUIRED_FIELDS, "Request")
     target = cfg.features.target_column
     raw_optional = [DEMOGRAPHIC_NAMES.get(n, n) for n in OPTIONAL_FIELDS]
     present = [n for n in raw_optional if n in artifacts.train_columns]
     rows = requests.withColumn("missing_features", missing_fields(requests))
-    reason = F.lit(None).cast("string")
+    date = cfg.features.date_column
+    parsed = F.col(date)
+    if isinstance(requests.schema[date].dataType, T.StringType):
+        parsed = F.try_to_timestamp(date)
+    absent = reduce(Column.__or__, [F.col(c).isNull() for c in REQUIRED_FIELDS])
+    reason = F.when(absent, "missing_required").when(parsed.isNull(), "invalid_date")
     if cfg.clean.outlier_column in requests.columns:
-        reason = F.when(~within_price_limit(requests, cfg.clean), F.lit("price_above_limit"))
-    rows = to_raw_names(rows.withColumn("reject_reason", reason))
+        reason = reason.when(~within_price_limit(requests, cfg.clean), "price_above_limit")
+    rows = to_raw_names(rows.withColumns({"reject_reason": reason, date: parsed}))
     placed = merge_locations(rows, lookup, cfg.clean, cfg.broadcast)
     extra = [target] if target in requests.columns else []
     kept = [*carry, *extra, "missing_features", "reject_reason"]

@@ -409,18 +409,18 @@ def best_model(spark, sf):
 
 @query
 def exact_sample(spark, sf):
-    train = _train(_tagged(spark, sf)).select("row_id", "date", "zipcode")
+    train = materialize(_train(_tagged(spark, sf)).select("row_id", "date", "zipcode"), "train")
     return sampling.sample_exact(train, 0.3, SETTINGS.train.seed, ["row_id"])
 
 
 def _prepared(spark, sf):
-    features = materialize(_features(spark, sf)[0], "features")
-    return features, learners.prepare(features, SMALL)
+    return learners.prepare(materialize(_features(spark, sf)[0], "features"), SMALL)
 
 
-def _learner(spark, sf, name):
-    _, prepared = _prepared(spark, sf)
-    _, found = learners.train_candidates(prepared, SMALL, [name])
+def _learner(spark, sf, *names):
+    prepared = _prepared(spark, sf)
+    found = materialize(learners.train_candidates(prepared, SMALL, names)[1], "metrics")
+    prepared.release()
     return _rounded(found, "value", digits=4)
 
 
@@ -446,14 +446,15 @@ def gbt(spark, sf):
 
 @query
 def all_candidates(spark, sf):
-    _, prepared = _prepared(spark, sf)
-    return _rounded(learners.train_candidates(prepared, SMALL)[1], "value", digits=4)
+    return _learner(spark, sf, *SMALL.train.candidates)
 
 
 @query
 def tuned_trials(spark, sf):
-    _, prepared = _prepared(spark, sf)
-    return tune(prepared, SMALL, spark).trials
+    prepared = _prepared(spark, sf)
+    trials = tune(prepared, SMALL, spark).trials
+    prepared.release()
+    return trials
 
 
 # --- scoring ---------------------------------------------------------------

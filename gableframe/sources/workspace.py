@@ -16,6 +16,8 @@ def workspace(spark: SparkSession) -> str:
     without one; a cluster must name a folder that all executors share."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(shared)
         return shared.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("Set spark.checkpoint.dir to a folder shared by all executors.")

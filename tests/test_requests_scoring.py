@@ -152,6 +152,16 @@ def test_records_are_scored_on_their_own(spark, artifacts, metros):
     assert got[1].model_version == "m@sha256:0@local"
 
 
+def test_a_bad_record_does_not_fail_the_others(spark, artifacts, metros):
+    bad = spark.createDataFrame(
+        [(5, "soon", "x", "X", 1, 1.0), (6, None, "x", "X", 1, 1.0), (7, "2022-01-01", None, "X", 1, 1.0)], REQUESTS
+    )
+    out = score_records(request_rows(spark).unionByName(bad), artifacts, metros, CFG)
+    got = {r.request_id: (r.predicted_price, r.reject_reason) for r in out.collect()}
+    assert {k: v[0] for k, v in got.items() if k < 5} == EXPECTED
+    assert got[5] == (None, "invalid_date") and got[6] == got[7] == (None, "missing_required")
+
+
 def test_rows_predicted_per_batch(spark, artifacts, metros):
     rows = request_rows(spark).withColumn("batch_id", F.when(F.col("request_id") < 3, "a").otherwise("b"))
     out = score_records(rows, artifacts, metros, CFG, ["batch_id", "request_id"])
