@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel, Transformer
@@ -124,10 +124,14 @@ class Prepared:
 
     frame: DataFrame
     preparation: PipelineModel
-    scaler: Transformer
     columns: tuple[str, ...]
     stats: LabelStats
 
+    @cached_property
+    def scaler(self) -> Transformer:
+        """Fitted when a linear model first asks for it; trees need none."""
+        return StandardScaler(inputCol=FEATURES, outputCol=SCALED, withMean=True).fit(self.train())
+
     def train(self) -> DataFrame:
         return self.frame.where("split = 'train'")
 
@@ -163,9 +167,7 @@ def prepare(features: DataFrame, cfg: Settings, columns: Sequence[str] | None =
     preparation, stats = fit_preparation(rows.where("split = 'train'"), columns)
     frame = preparation.transform(rows).select("split", LABEL, FEATURES)
     frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
-    train = frame.where("split = 'train'")
-    scaler = StandardScaler(inputCol=FEATURES, outputCol=SCALED, withMean=True).fit(train)
-    return Prepared(frame, preparation, scaler, tuple(columns), stats)
+    return Prepared(frame, preparation, tuple(columns), stats)
 
 
 def fit_stages(name: str, prepared: Prepared, cfg: TrainSettings) -> list[Transformer]:

@@ -28,6 +28,7 @@ def parser() -> argparse.ArgumentParser:
 
     data = sub.add_parser("data", parents=[shared], help="Split and clean.")
     data.add_argument("--raw", required=True)
+    data.add_argument("--audit", action="store_true", help="Also write what cleaning removed.")
     sub.add_parser("features", parents=[shared], help="Fit encoders, build features.")
     training = sub.add_parser("training", parents=[shared], help="Compare the candidates.")
     training.add_argument("--save-candidates", action="store_true")
@@ -69,7 +70,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     )
     if args.job == "data":
         jobs.run_split(project, args.raw)
-        jobs.run_clean(project, args.metros)
+        jobs.run_clean(project, args.metros, audit=args.audit)
     elif args.job == "features":
         jobs.run_features(project)
     elif args.job == "training":

@@ -18,7 +18,7 @@ from ..functions import labels
 from ..models.candidates import check_features, prepare, train_candidates
 from ..models.scoring import Artifacts, score_table, scoring_metrics
 from ..models.tuning import check_tunable, tune
-from ..operators.clean import clean
+from ..operators.clean import clean, cleaning_audit
 from ..operators.encode import Encoders, load_encoders, save_encoders
 from ..operators.features import engineer_features
 from ..operators.metrics import best_model
@@ -42,7 +42,7 @@ class Layout:
     root: str
 
     def __getattr__(self, name: str) -> str:
-        if name in ("splits", "cleaned", "features", "encoders", "predictions", "registry", "models"):
+        if name in ("splits", "cleaned", "features", "encoders", "predictions", "registry", "models", "audit"):
             return f"{self.root.rstrip('/')}/{name}"
         raise AttributeError(name)
 
@@ -142,14 +142,22 @@ def run_split(project: Project, raw_path: str) -> DataFrame:
     return profile
 
 
-def run_clean(project: Project, metros_path: str | None, splits: Sequence[str] = SPLITS) -> DataFrame:
-    """Clean the named splits in one plan; the split bounds duplicate removal."""
+def run_clean(
+    project: Project, metros_path: str | None, splits: Sequence[str] = SPLITS, audit: bool = False
+) -> DataFrame:
+    """Clean the named splits in one plan; the split bounds duplicate removal. The
+    audit of removed rows is a second pass and written on request."""
     cfg, path = project.cfg, project.layout.cleaned
-    with project.registry.step("clean"):
+    with project.registry.step("clean") as note:
         tagged = read_splits(project.spark, project.layout.splits, splits)
         lookup = read_lookup(project.spark, metros_path, cfg.clean)
         cleaned = clean(tagged, lookup, cfg.clean, cfg.broadcast, group=[cfg.split.split_column])
         write_splits(cleaned, path, cfg.split.split_column)
+        if audit:
+            removed = cleaning_audit(tagged, cfg.clean, cfg.split.split_column)
+            removed.write.mode("overwrite").parquet(project.layout.audit)
+        written = read_splits(project.spark, path, splits)
+        note["rows"] = written.count()
     if project.register:
         project.registry.register(
             cfg.registry.cleaned,
@@ -166,17 +174,19 @@ def run_clean(project: Project, metros_path: str | None, splits: Sequence[str] =
             inputs=[f"{cfg.registry.splits}:latest"],
             required=[f"{path}/split={s}" for s in SPLITS],
         )
-    return read_splits(project.spark, path, splits)
+    return written
 
 
 def run_features(project: Project) -> tuple[DataFrame, Encoders]:
     """Fit the encoders on train, write features of all splits and the encoders."""
     cfg, layout = project.cfg, project.layout
-    with project.registry.step("features"):
+    with project.registry.step("features") as note:
         cleaned = read_splits(project.spark, project.stage_path(cfg.registry.cleaned, layout.cleaned))
         features, encoders = engineer_features(cleaned, cfg)
         write_splits(features, layout.features, cfg.split.split_column)
         save_encoders(encoders, layout.encoders)
+        written = read_splits(project.spark, layout.features)
+        note["rows"] = written.count()
     if project.register:
         source = f"{cfg.registry.cleaned}:latest"
         project.registry.register(
@@ -203,7 +213,7 @@ def run_features(project: Project) -> tuple[DataFrame, Encoders]:
                 description="Fitted feature engineering encoders.",
                 inputs=[source],
             )
-    return read_splits(project.spark, layout.features), load_encoders(project.spark, layout.encoders)
+    return written, load_encoders(project.spark, layout.encoders)
 
 
 def run_training(

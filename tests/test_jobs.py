@@ -49,6 +49,13 @@ def test_stages_run_in_order_and_leave_their_tables(spark, project):
     steps = [r.step for r in project.registry.runs().orderBy("started_at").collect()]
     assert steps == ["split", "clean", "features", "training", "scoring"]
     assert project.registry.runs().where("status != 'finished'").count() == 0
+    logged = {r.step: r.n_rows for r in project.registry.runs().collect()}
+    assert logged["split"] == raw.count() and logged["clean"] == logged["features"] == cleaned.count()
+    removed_rows = raw.count() - cleaned.count()
+    jobs.run_clean(project, None, audit=True)
+    audit = spark.read.parquet(layout.audit)
+    assert audit.agg(F.sum("rows_removed")).first()[0] == removed_rows
+    jobs.run_clean(project, f"{layout.root}/metros.csv")
 
 
 def test_training_outputs(spark, project):
