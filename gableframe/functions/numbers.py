@@ -27,17 +27,17 @@ def lenient_double(df: DataFrame, column: str) -> Column:
     return value.cast("double")
 
 
+def missing_as_null(df: DataFrame, column: str) -> Column:
+    """The column with NaN as null: in a floating column both are a missing value."""
+    value = F.col(f"`{column}`")
+    if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)):
+        return F.when(~F.isnan(value), value)
+    return value
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """NaN to null in every floating column, in one projection."""
-    floating = (T.DoubleType, T.FloatType)
-    return df.select(
-        *[
-            F.when(~F.isnan(f"`{f.name}`"), F.col(f"`{f.name}`")).alias(f.name)
-            if isinstance(f.dataType, floating)
-            else F.col(f"`{f.name}`")
-            for f in df.schema.fields
-        ]
-    )
+    return df.select(*[missing_as_null(df, c).alias(c) for c in df.columns])
 
 
 def seeded_key(seed: int, *columns: Column) -> Column:

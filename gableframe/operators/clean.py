@@ -9,21 +9,21 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..config import BroadcastBound, CleanSettings
-from ..functions.numbers import lenient_double
+from ..functions.numbers import lenient_double, missing_as_null
 from ..functions.text import normalize_city, normalize_metro, replace_mapped
 from ..sources.workspace import materialize
 from .lookup import lookup_join
 
 
 def _keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """First row of every group of equal keys (null equals null).
+    """First row of every group of equal keys (missing equals missing).
 
     ``row_number() = 1`` lets Spark keep one row per group in every task before
     the shuffle, so a group holding a third of the table sends one row per task.
     The hash in front makes the two sorts compare one long instead of all keys;
     equality is still decided by the keys themselves.
     """
-    columns = [F.col(f"`{k}`") for k in keys]
+    columns = [missing_as_null(df, k) for k in keys]
     window = W.partitionBy(F.xxhash64(*columns), *columns).orderBy(*order)
     return df.withColumn("__rank", F.row_number().over(window)).where("__rank = 1").drop("__rank")
 
@@ -164,7 +164,7 @@ def cleaning_audit(df: DataFrame, cfg: CleanSettings, split_column: str = "split
     rows = normalize_cities(df, cfg)
     keys = compared_columns(rows, cfg, [split_column])
     keep = within_price_limit(rows, cfg) if cfg.outlier_column in rows.columns else F.lit(True)
-    groups = rows.select(*[F.col(f"`{k}`") for k in keys], keep.alias("__keep"))
+    groups = rows.select(*[missing_as_null(rows, k).alias(k) for k in keys], keep.alias("__keep"))
     groups = groups.groupBy(*[F.col(f"`{k}`") for k in keys], "__keep").agg(F.count("*").alias("__n"))
     totals = groups.groupBy(split_column).agg(
         F.sum("__n").alias("all_rows"),

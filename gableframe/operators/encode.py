@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import BroadcastBound, FeatureSettings
+from ..functions.numbers import missing_as_null
 from ..schema import require_columns
 from ..sources.workspace import materialize, path_exists
 from .lookup import lookup_join
@@ -31,7 +32,8 @@ def fit_frequency(train: DataFrame, column: str) -> DataFrame:
     """Rows per value on train; null is a value. Counts are combined in each
     task before the shuffle, so a hot value costs one row per task."""
     require_columns(train, [column], "Train data")
-    return train.groupBy(column).agg(F.count("*").alias(f"{column}_freq"))
+    key = missing_as_null(train, column).alias(column)
+    return train.groupBy(key).agg(F.count("*").alias(f"{column}_freq"))
 
 
 def apply_frequency(
@@ -56,7 +58,7 @@ def fit_target(
     require_columns(train, [column, target], "Train data")
     label = F.col(target).cast("double")
     known = train.where(label.isNotNull() & ~F.isnan(label))
-    sums = known.groupBy(column).agg(F.count("*").alias("n"), F.sum(label).alias("total"))
+    sums = known.groupBy(missing_as_null(known, column).alias(column)).agg(F.count("*").alias("n"), F.sum(label).alias("total"))
     sums = materialize(sums, "target-sums")
     prior = sums.agg(F.sum("total") / F.nullif(F.sum("n"), F.lit(0))).first()[0]
     mean = F.col("total") / F.col("n")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import BroadcastBound
+from ..functions.numbers import missing_as_null
 
 _KEY = "__lookup_key"
 _SALT = "__salt"
@@ -31,8 +32,8 @@ def lookup_join(
     values: list[str],
     bound: BroadcastBound,
 ) -> DataFrame:
-    """``df`` with ``values`` of the one lookup row whose key is equal; a null
-    key matches a null key. ``lookup`` holds every key once, so the row count
+    """``df`` with ``values`` of the one lookup row whose key is equal; a missing
+    key matches a missing key. ``lookup`` holds every key once, so the row count
     never changes.
 
     Small lookup: broadcast, no shuffle of ``df``. Large lookup: both sides are
@@ -40,13 +41,13 @@ def lookup_join(
     one hot key (or of null) are dealt over ``bound.salts`` tasks.
     """
     right = lookup.select(F.col(f"`{lookup_key}`").alias(_KEY), *[F.col(f"`{v}`") for v in values])
-    same_key = df[f"`{key}`"].eqNullSafe(right[_KEY])
     if fits_broadcast(right, bound):
+        same_key = missing_as_null(df, key).eqNullSafe(F.col(_KEY))
         return df.join(F.broadcast(right), same_key, "left").drop(_KEY)
     salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(bound.salts)).cast("int")
     left = df.withColumn(_SALT, salt)
     repeated = right.withColumn(
         "__copy", F.explode(F.sequence(F.lit(0), F.lit(bound.salts - 1)))
     )
-    on = left[f"`{key}`"].eqNullSafe(repeated[_KEY]) & (left[_SALT] == repeated["__copy"])
+    on = missing_as_null(left, key).eqNullSafe(F.col(_KEY)) & (F.col(_SALT) == F.col("__copy"))
     return left.join(repeated, on, "left").drop(_KEY, _SALT, "__copy")

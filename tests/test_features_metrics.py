@@ -73,6 +73,14 @@ def test_frequency_counts_null_and_unknown(spark, rows):
         fit_frequency(spark.range(1), "zipcode")
 
 
+@pytest.mark.parametrize("bound", [BroadcastBound(), BroadcastBound(max_rows=0)])
+def test_missing_floating_keys_are_one_value(spark, rows, bound):
+    train = spark.createDataFrame([(None,), (float("nan"),), (0.0,), (-0.0,)], "zipcode double")
+    table = fit_frequency(train, "zipcode")
+    assert rows(table) == [(0.0, 2), (None, 2)]
+    assert [r.zipcode_freq for r in apply_frequency(train, "zipcode", table, bound).collect()] == [2, 2, 2, 2]
+
+
 @pytest.mark.parametrize("bound", [BroadcastBound(), BroadcastBound(max_rows=0)])
 def test_target_encoding_values(spark, bound):
     labels = [("a", 10.0)] * 30 + [("b", 40.0)] * 2 + [(None, 100.0)] + [("c", None), ("c", float("nan"))]
