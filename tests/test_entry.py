@@ -2,6 +2,8 @@ import pytest
 from conftest import SF
 
 import __spark_entry__ as entry
+from gableframe.plans.catalog import QUERIES
+from gableframe.plans.catalog_sql import ORACLE
 from gableframe.sources import workspace as ws
 
 
@@ -11,9 +13,9 @@ def test_flagship(spark):
 
 
 def test_every_sql_has_its_query():
-    queries, sql = entry.queries(), entry.oracle_sql()
-    assert set(sql) <= set(queries)
-    assert set(queries) - set(sql) == {
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(QUERIES) - set(ORACLE) == {
         "ols_full", "ridge_full", "random_forest", "gbt", "all_candidates", "tuned_trials", "loaded_model_info",
     }
 
