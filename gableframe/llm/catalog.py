@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.workspace import scratch_path
-from . import itq, packing, simhash, token_store
+from . import decontaminate, itq, kd_shards, packing, simhash, token_store
 
 
 def tokenizer_file() -> str:
@@ -22,6 +22,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return kd_shards.shard(_table(spark, folder, "documents")).withColumn("grown_shard", F.lit(None).cast("int"))
+
+
 def op4_genetic_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(packing.pieces(_table(spark, folder, "documents"), tokenizer_file()))
 
@@ -31,6 +35,10 @@ def op5_simhash_trees(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op8_positional_index(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.report(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op9_itq_vectors(spark: SparkSession, folder: str) -> DataFrame:
     found = itq.near_duplicates(_table(spark, folder, "embeddings")).withColumnRenamed("component", "component_id")
     return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
@@ -43,7 +51,15 @@ def op10_token_store(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_genetic_packing, op5_simhash_trees, op9_itq_vectors, op10_token_store)
+    f.__name__: f
+    for f in (
+        op2_kd_shards,
+        op4_genetic_packing,
+        op5_simhash_trees,
+        op8_positional_index,
+        op9_itq_vectors,
+        op10_token_store,
+    )
 }
 
 ORACLE: dict[str, str] = {}
