@@ -229,7 +229,8 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
     named = near_duplicates(docs, text, key)
     kept = named.where(F.col(key).eqNullSafe(F.col("component"))).groupBy(F.col(key).alias("__kept")).count()
     kept = materialize(kept, "simhash-kept")
-    out = docs.join(kept.select("__kept"), docs[key].eqNullSafe(kept["__kept"]), "left_semi")
+    # the kept keys grow with the documents: one shuffle on the key at every size
+    out = docs.join(kept.select("__kept").hint("merge"), docs[key].eqNullSafe(kept["__kept"]), "left_semi")
     return out if kept.where("count > 1").isEmpty() else out.dropDuplicates([key, text])
 
 
