@@ -7,7 +7,7 @@ them, and on a bounded sample of the corpus. Its probabilities are softened by a
 temperature fitted on held-out parts. A family that is found is confirmed by
 comparing the paragraph with that family's notices.
 
-N-grams count only if they hold a word that the sampled corpus lacks. A paragraph
+N-grams count only if they hold a word that is rare in the sampled corpus. A paragraph
 without such a word has no features and is no notice, so one pattern over the
 text decides exactly which paragraphs need scoring. Paragraphs are scored once
 however many documents repeat them. The main path is DataFrame operations.
@@ -102,11 +102,13 @@ NO_NOTICES = [
 @dataclass(frozen=True)
 class Settings:
     """``sample``: documents whose paragraphs stand for text that is no notice, at
-    most. ``accept``: calibrated probability from which a family is named.
+    most. ``usual``: share of those paragraphs from which a word is an ordinary one.
+    ``accept``: calibrated probability from which a family is named.
     ``confirm``: share of common word pairs, of the shorter of paragraph and notice,
     that confirms it."""
 
     sample: int = 400
+    usual: float = 0.002
     accept: float = 0.5
     confirm: float = 0.5
     penalty: float = 0.003
@@ -163,9 +165,13 @@ def fit(docs: DataFrame, cfg: Settings = Settings(), key: str = "doc_id", text:
     notices += [(UNKNOWN, part) for part in NO_NOTICES]
     known = spark.createDataFrame(notices, "family string, p string")
     licence_words = known.where(F.col("family") != UNKNOWN).select(F.explode(words(F.col("p"))).alias("w")).distinct()
-    # paragraphs that are notices themselves must not teach that notices are ordinary
-    clear = sampled.join(known.select("p").distinct(), "p", "left_anti")
-    usual = clear.select(F.explode(F.array_distinct(words(F.col("p")))).alias("w")).distinct()
+    # paragraphs that share word pairs with notices must not teach that notices are ordinary
+    pairs = [r["g"] for r in known.where(F.col("family") != UNKNOWN).select(F.explode(ngrams(words(F.col("p")), 2, 2)).alias("g")).distinct().collect()]
+    shared = F.size(F.array_intersect(ngrams(words(F.col("p")), 2, 2), F.array(*map(F.lit, pairs))))
+    clear = materialize(sampled.where(shared < 2), "license-clear")
+    often = max(2, math.ceil(cfg.usual * clear.count()))
+    counts = clear.select(F.explode(F.array_distinct(words(F.col("p")))).alias("w")).groupBy("w").count()
+    usual = counts.where(F.col("count") >= often).select("w")
     triggers = sorted(r["w"] for r in licence_words.join(usual, "w", "left_anti").collect())
     if not triggers:
         return Model((*NOTICES, UNKNOWN), (), (0.0,) * len(NOTICES) + (1.0,), ())

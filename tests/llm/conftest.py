@@ -1,0 +1,14 @@
+import os
+
+import pytest
+
+DATA = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def tokenizer():
+    from gableframe.llm.catalog import tokenizer_file
+
+    path = tokenizer_file()
+    assert os.path.exists(path)
+    return path
