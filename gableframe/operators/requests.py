@@ -31,7 +31,9 @@ def _number(name: str) -> Column:
     """A number field, also sent as numeric text; an integer has no fraction."""
     value = F.get(_VALUES, F.lit(_NUMBERS.index(name)))
     if REQUEST_FIELDS[name] == "bigint":
-        return F.when(value == F.floor(value), value.try_cast("bigint"))
+        # plain digits are read as they are: a double would change large ones
+        exact = F.trim(F.col(f"{_SENT}.{name}").cast("string")).try_cast("bigint")
+        return F.when(value == F.floor(value), F.coalesce(exact, value.try_cast("bigint")))
     return value
 
 

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import SPLITS
 from ..functions import labels
 from ..functions.dates import date_parts
 from ..functions.numbers import lenient_double, nan_to_null
@@ -318,9 +319,12 @@ def request_contract(spark, sf):
 
 
 def _batches(spark, sf):
-    rows = listings(spark, sf)
-    batch = F.concat_ws("-", F.col("city"), F.quarter("date").cast("string"))
-    return rows.withColumn("batch_id", batch)
+    """Batches of senders who send runs of 1500 orders, 1100 at once and then the
+    rest: some are beyond the limit and some within it, however many orders there are."""
+    order = F.expr("row_id div 2")
+    part = F.when(F.pmod(order, F.lit(1500)) < 1100, "first").otherwise("rest")
+    batch = F.concat_ws("-", F.expr("row_id div 3000").cast("string"), part)
+    return listings(spark, sf).withColumn("batch_id", batch)
 
 
 @query
@@ -534,10 +538,10 @@ def batch_scoring(spark, sf):
 
 @query
 def stream_score(spark, sf):
-    """The order file as a stream, scored into Parquet, read back."""
+    """The order table, one file or a folder of files, as a stream, scored into Parquet, read back."""
     orders = table(spark, sf, "orders")
     stream = (
-        spark.readStream.schema(orders.schema).option("pathGlobFilter", "orders.parquet").parquet(sf)
+        spark.readStream.schema(orders.schema).parquet(f"{sf}/orders.parquet*")
     )
     sent = _requests(spark, sf, listings_from_orders(spark, sf, stream))
     sink = scratch_path(spark, "stream")
@@ -575,6 +579,16 @@ def split_files(spark, sf):
     return tables.read_splits(spark, path, ("train", "eval")).select("row_id", "date", "price", "split")
 
 
+@query
+def rerun_splits(spark, sf):
+    """All splits written, then written again without holdout rows."""
+    path = scratch_path(spark, "splits")
+    tagged = _tagged(spark, sf)
+    tables.write_splits(tagged, path, produced=SPLITS)
+    tables.write_splits(tagged.where("split <> 'holdout'"), path, produced=SPLITS)
+    return tables.read_splits(spark, path).select("row_id", "date", "price", "split")
+
+
 @query
 def encoder_files(spark, sf):
     path = scratch_path(spark, "encoders")

@@ -130,7 +130,8 @@ versions AS (
   FROM loads
 ),
 batches AS (
-  SELECT city || '-' || CAST(quarter(date) AS VARCHAR) AS batch_id, * FROM listing
+  SELECT CAST(row_id // 3000 AS VARCHAR) || CASE WHEN row_id // 2 % 1500 < 1100 THEN '-first' ELSE '-rest' END AS batch_id, *
+  FROM listing
 ),
 batch_counts AS (
   SELECT batch_id, count(*) AS n_records, count(*) BETWEEN 1 AND 1000 AS accepted FROM batches GROUP BY batch_id
@@ -328,6 +329,7 @@ _BODIES: dict[str, str] = {
     "upload_requests": """
         SELECT zipcode, count(*) AS n_rows, max(median_list_price) AS highest FROM listing GROUP BY zipcode""",
     "split_files": "SELECT row_id, date, price, split FROM tagged WHERE split IN ('train', 'eval')",
+    "rerun_splits": "SELECT row_id, date, price, split FROM tagged WHERE split IN ('train', 'eval')",
     "encoder_files": """
         SELECT city_full, n, round(city_full_encoded, 2) AS city_full_encoded, round(prior, 2) AS prior
         FROM city_codes CROSS JOIN prior""",

@@ -112,7 +112,7 @@ def run_split(project: Project, raw_path: str) -> DataFrame:
     cfg, path = project.cfg, project.layout.splits
     raw = read_table(project.spark, raw_path)
     with project.registry.step("split") as note:
-        write_splits(split_by_date(raw, cfg.split), path, cfg.split.split_column)
+        write_splits(split_by_date(raw, cfg.split), path, cfg.split.split_column, SPLITS)
         written = read_splits(project.spark, path)
         profile = split_profile(written.drop("row_id"), cfg.split)
         note["rows"] = profile.agg(F.sum("n_rows")).first()[0]
@@ -152,7 +152,7 @@ def run_clean(
         tagged = read_splits(project.spark, project.layout.splits, splits)
         lookup = read_lookup(project.spark, metros_path, cfg.clean)
         cleaned = clean(tagged, lookup, cfg.clean, cfg.broadcast, group=[cfg.split.split_column])
-        write_splits(cleaned, path, cfg.split.split_column)
+        write_splits(cleaned, path, cfg.split.split_column, splits)
         if audit:
             removed = cleaning_audit(tagged, cfg.clean, cfg.split.split_column)
             removed.write.mode("overwrite").parquet(project.layout.audit)
@@ -183,7 +183,7 @@ def run_features(project: Project) -> tuple[DataFrame, Encoders]:
     with project.registry.step("features") as note:
         cleaned = read_splits(project.spark, project.stage_path(cfg.registry.cleaned, layout.cleaned))
         features, encoders = engineer_features(cleaned, cfg)
-        write_splits(features, layout.features, cfg.split.split_column)
+        write_splits(features, layout.features, cfg.split.split_column, SPLITS)
         save_encoders(encoders, layout.encoders)
         written = read_splits(project.spark, layout.features)
         note["rows"] = written.count()

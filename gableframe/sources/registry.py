@@ -163,7 +163,7 @@ class Registry:
         try:
             yield note
         except Exception as error:
-            status, message = "failed", f"{type(error).__name__}: {error}"[:500]
+            status, message = "failed", f"{type(error).__name__}: {error}"
             raise
         finally:
             row = (name, started, time.perf_counter() - clock, status, note["rows"], message)

@@ -5,7 +5,6 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folder: dict[str, str] = {}
@@ -43,11 +42,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path can be read, on any file system Spark knows."""
-    try:
-        spark.read.format("binaryFile").load(path)
-        return True
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
+    """Whether there is such a file or folder, on any file system Spark knows. The
+    file system is asked; nothing below the path is listed."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)

@@ -157,6 +157,21 @@ def test_missing_splits_are_listed(spark, tmp_path):
     assert read_splits(spark, path, ("train", "eval")).count() == 2
 
 
+def test_a_split_without_rows_is_empty_and_keeps_nothing_old(spark, tmp_path):
+    path, all_splits = str(tmp_path / "s"), ("train", "eval", "holdout")
+    rows = spark.createDataFrame([(1, "train"), (2, "eval"), (3, "holdout")], "x int, split string")
+    write_splits(rows, path, produced=all_splits)
+    write_splits(rows.where("split <> 'holdout'").withColumn("x", F.col("x") + 10), path, produced=all_splits)
+    assert sorted(r.x for r in read_splits(spark, path).collect()) == [11, 12]
+    assert read_splits(spark, path, ["holdout"]).count() == 0
+
+
+def test_whole_numbers_with_a_point_in_integer_columns(spark, tmp_path):
+    (tmp_path / "z.csv").write_text("zipcode,price\n30301.0,1\n,2\n33101,3\n")
+    got = read_csv(spark, str(tmp_path / "z.csv"), types={"zipcode": "bigint", "price": "double"}, row_id=None)
+    assert [r.zipcode for r in got.collect()] == [30301, None, 33101]
+
+
 def test_csv_is_typed_by_name_and_keeps_order(spark, tmp_path):
     path = tmp_path / "raw.csv"
     path.write_text('price,date,city_full,zipcode,Median Age,other\n5,2012-03-31," a, ""b"" ",30301,NA,x\n,2012-04-30,N/A,,1.5,\n')
