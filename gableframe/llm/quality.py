@@ -41,24 +41,27 @@ class Settings:
     penalty: float = 1e-4
 
 
-def features(text: Column) -> Column:
-    """Six numbers between about 0 and 1: shares of symbols and capitals among the
-    characters, different words (on a log scale), word length, different lines,
-    words that repeat the word before them. All defined for empty texts."""
-    text = F.coalesce(text, F.lit(""))
-    n = F.greatest(F.length(text), F.lit(1))
-    words = F.array_remove(F.split(text, r"\s+"), "")
-    lines = F.array_remove(F.split(text, "\n"), "")
+def with_features(rows: DataFrame, text: str = "text") -> DataFrame:
+    """Adds ``__features``, six numbers between about 0 and 1: shares of symbols and
+    capitals among the characters, different words (on a log scale), word length,
+    different lines, words that repeat the word before them. All defined for null and
+    empty texts. Words and lines are cut once, in a projection of their own."""
+    whole = F.coalesce(F.col(text), F.lit(""))
+    cut = rows.withColumn("__words", F.array_remove(F.split(whole, r"\s+"), ""))
+    cut = cut.withColumn("__lines", F.array_remove(F.split(whole, "\n"), ""))
+    words, lines = F.col("__words"), F.col("__lines")
+    n = F.greatest(F.length(whole), F.lit(1))
     count = F.greatest(F.size(words), F.lit(1))
     again = F.zip_with(words, F.slice(words, 2, count), lambda a, b: a == b)
-    return F.array(
-        F.regexp_count(text, F.lit(_SYMBOLS)) / n,
-        F.regexp_count(text, F.lit(r"\p{Lu}")) / n,
+    made = F.array(
+        F.regexp_count(whole, F.lit(_SYMBOLS)) / n,
+        F.regexp_count(whole, F.lit(r"\p{Lu}")) / n,
         F.log1p(F.size(F.array_distinct(words))) / F.log1p(count),
         F.least(n / count / 20.0, F.lit(1.0)),
         F.size(F.array_distinct(lines)) / F.greatest(F.size(lines), F.lit(1)),
         F.size(F.filter(again, lambda same: same)) / count,
     )
+    return cut.withColumn("__features", made).drop("__words", "__lines")
 
 
 @dataclass(frozen=True)
@@ -82,7 +85,8 @@ def fit(docs: DataFrame, labels: DataFrame, cfg: Settings = Settings(), key: str
     # the least hashes of the labels, so that texts of the sample alone are looked up
     picked = labels.where(F.col(label).isin(0, 1)).select(F.col(key).alias("__key"), F.col(label).cast("double").alias("__label"))
     picked = materialize(picked.orderBy(F.xxhash64("__key"), "__key", "__label").limit(cfg.train_rows), "quality-labels")
-    rows = docs.join(F.broadcast(picked), docs[key] == picked["__key"]).select(features(F.col(text)).alias("f"), "__label")
+    rows = docs.join(F.broadcast(picked), docs[key] == picked["__key"]).select(F.col(text).alias("text"), "__label")
+    rows = with_features(rows).select(F.col("__features").alias("f"), "__label")
     rows = materialize(rows, "quality-train")
     seen = dict(rows.groupBy("__label").count().collect())
     good, bad = seen.get(1.0, 0), seen.get(0.0, 0)
@@ -109,14 +113,17 @@ def score(docs: DataFrame, classifier: Classifier, cfg: Settings = Settings(), h
 
     Null hosts are one host, null paths one path of their host. Null and empty texts
     are scored by their features like others. Repeated rows are separate documents.
-    Columns of these five names are refused; an empty table gives an empty table.
+    Columns of these five names, ``__words``, ``__lines`` and ``__features`` are
+    refused; an empty table gives an empty table.
     """
-    made = {"__own", "__host", "__path", "__posterior", "__kept"}
+    made = {"__own", "__host", "__path", "__posterior", "__kept", "__words", "__lines", "__features"}
     if made & set(docs.columns):
         raise ValueError(f"These columns are made here: {sorted(made & set(docs.columns))}")
     base = F.lit(classifier.base)
-    own = _probability(classifier.evidence(features(F.col(text))) + base)
-    sums = docs.select(F.col(host).alias("h"), F.col(path).alias("p"), own.alias("own")).groupBy("h", "p").agg(
+    judged = with_features(docs, text).withColumn("__own", _probability(classifier.evidence(F.col("__features")) + base))
+    judged = judged.drop("__features")
+    own = F.col("__own")
+    sums = judged.select(F.col(host).alias("h"), F.col(path).alias("p"), own.alias("own")).groupBy("h", "p").agg(
         F.count("*").alias("n"), F.sum("own").alias("s"), F.sum(F.col("own") * (1 - F.col("own"))).alias("noise")
     )
     paths = materialize(sums, "quality-paths")
@@ -135,7 +142,7 @@ def score(docs: DataFrame, classifier: Classifier, cfg: Settings = Settings(), h
     shrunk = (F.col("hs") + host_weight * rate) / (F.col("hn") + host_weight)
     path_weight = _strength(between(both, "n", "s", shrunk), rate, cfg)
     sites = materialize(both.select(F.col("h").alias("__h"), F.col("p").alias("__p"), "n", "s", "hn", "hs"), "quality-sites")
-    scored = docs.withColumn("__own", own).join(sites, docs[host].eqNullSafe(sites["__h"]) & docs[path].eqNullSafe(sites["__p"]))
+    scored = judged.join(sites, judged[host].eqNullSafe(sites["__h"]) & judged[path].eqNullSafe(sites["__p"]))
     host_rate = (F.col("hs") - F.col("__own") + host_weight * rate) / (F.col("hn") - 1 + host_weight)
     scored = scored.withColumn("__host", host_rate)
     path_rate = (F.col("s") - F.col("__own") + path_weight * F.col("__host")) / (F.col("n") - 1 + path_weight)
