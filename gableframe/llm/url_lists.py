@@ -70,12 +70,22 @@ def keys(url: Column) -> Column:
 def intervals(changes: DataFrame) -> DataFrame:
     """``(kind, pattern, action, since, until)`` from ``changes(kind, pattern, action,
     at)``: the times a pattern is on the list; ``until`` is null for the last change.
-    Changes with a null in any of the four, or of another kind or action, are void."""
+    Changes with a null in any of the four, or of another kind or action, are void.
+
+    A change is followed by the next of its day, and the last of a day by the first of
+    the next day that has any, so no task orders all changes of a pattern: it orders
+    those of a day, or one row per day.
+    """
     known = changes.where(F.col("kind").isin(*KINDS) & F.col("action").isin(*ACTIONS) & F.col("pattern").isNotNull() & F.col("at").isNotNull())
     strength = F.array_position(F.array(*map(F.lit, ACTIONS)), F.col("action"))
     single = known.groupBy("kind", "pattern", "at").agg(F.max_by("action", strength).alias("action"))
-    until = F.lead("at").over(Window.partitionBy("kind", "pattern").orderBy("at"))
-    return single.select("kind", "pattern", "action", F.col("at").alias("since"), until.alias("until")).where("action <> 'remove'")
+    single = materialize(single.withColumn("on", F.to_date("at")), "url-changes")
+    within = F.lead("at").over(Window.partitionBy("kind", "pattern", "on").orderBy("at"))
+    after = F.lead("first").over(Window.partitionBy("kind", "pattern").orderBy("on"))
+    days = single.groupBy("kind", "pattern", "on").agg(F.min("at").alias("first")).withColumn("after", after).drop("first")
+    until = F.coalesce("within", "after")
+    both = single.withColumn("within", within).join(days, ["kind", "pattern", "on"])
+    return both.select("kind", "pattern", "action", F.col("at").alias("since"), until.alias("until")).where("action <> 'remove'")
 
 
 def verdicts(captures: DataFrame, changes: DataFrame, url: str = "url", at: str = "fetched_at") -> DataFrame:

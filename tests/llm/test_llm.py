@@ -251,6 +251,25 @@ def test_url_lists(spark):
     assert {r.verdict for r in url_lists.verdicts(a, c.limit(0)).collect()} == {"unlisted"} and url_lists.verdicts(a.limit(0), c).count() == 0
 
 
+def test_url_intervals_of_a_hot_pattern(spark):
+    """Many changes in one day, days without any, ties and voids: brute force."""
+    rng = random.Random(8)
+    rows = [("domain", "hot.com", rng.choice(url_lists.ACTIONS), rng.choice([rng.randint(0, 400), rng.randint(0, 3_000_000)])) for _ in range(400)]
+    rows += [("url", f"p{i % 7}.com/", rng.choice(url_lists.ACTIONS), rng.randint(0, 3_000_000)) for i in range(40)] + [("url", "p1.com/", None, 5), ("url", None, "block", 6)]
+    changes = spark.createDataFrame(rows, "kind string, pattern string, action string, at long").withColumn("at", F.timestamp_seconds("at"))
+    got = url_lists.intervals(changes).select("kind", "pattern", "action", F.unix_seconds("since"), F.unix_seconds("until")).collect()
+    by = defaultdict(dict)
+    for kind, pattern, action, at in rows:
+        if pattern and action:
+            seen = by[kind, pattern]
+            seen[at] = max(seen.get(at, action), action, key=url_lists.ACTIONS.index)
+    want = []
+    for name, seen in by.items():
+        times = sorted(seen)
+        want += [(*name, seen[a], a, b) for a, b in zip(times, [*times[1:], None]) if seen[a] != "remove"]
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
 def test_licenses(spark):
     corpus = [(i, f"The and of tion {i} ence.\nAn other line of the text") for i in range(50)]
     rows = [(100, "Foo bar.\nReleased under the MIT License.\nBar"), (101, "This program is licensed under the GNU General Public License, version 2."), (102, "His license plate was at MIT."), (103, None), (104, ""), (None, "All rights reserved."), (None, "All rights reserved.")]
