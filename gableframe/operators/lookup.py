@@ -1,4 +1,4 @@
-"""Null-safe left lookup join that picks broadcast or a salted shuffle."""
+"""Null-safe left lookup join: broadcast within a bound, else a shuffle that salts hot keys."""
 
 from __future__ import annotations
 
@@ -8,9 +8,11 @@ from pyspark.sql import types as T
 
 from ..config import BroadcastBound
 from ..functions.numbers import missing_as_null
+from ..sources.workspace import materialize
 
 _KEY = "__lookup_key"
 _SALT = "__salt"
+_HOT = "__hot"
 
 
 def fits_broadcast(lookup: DataFrame, bound: BroadcastBound) -> bool:
@@ -18,12 +20,30 @@ def fits_broadcast(lookup: DataFrame, bound: BroadcastBound) -> bool:
     width = F.lit(0)
     for f in lookup.schema.fields:
         value = F.col(f"`{f.name}`")
-        text = isinstance(f.dataType, T.StringType)
-        width = width + (F.coalesce(F.octet_length(value), F.lit(0)) if text else F.lit(16))
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            width = width + F.coalesce(F.octet_length(value), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            width = width + F.octet_length(F.to_json(F.struct(value)))
+        else:
+            width = width + F.lit(16)
     row = lookup.limit(bound.max_rows + 1).agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
     return row[0] <= bound.max_rows and row[1] <= bound.max_bytes
 
 
+def _has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_has_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, T.MapType) or (isinstance(kind, T.ArrayType) and _has_map(kind.elementType))
+
+
+def hot_keys(df: DataFrame, key: str, bound: BroadcastBound) -> DataFrame:
+    """Keys that hold more than 1 / (16 * salts) of all rows: fewer than 16 * salts
+    of them, whatever the table."""
+    counts = materialize(df.groupBy(missing_as_null(df, key).alias(_HOT)).agg(F.count("*").alias("n")), "key-counts")
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return counts.where(F.col("n") * (16 * bound.salts) > total).select(_HOT)
+
+
 def lookup_join(
     df: DataFrame,
     lookup: DataFrame,
@@ -37,17 +57,27 @@ def lookup_join(
     never changes.
 
     Small lookup: broadcast, no shuffle of ``df``. Large lookup: both sides are
-    shuffled by key *and* salt; the lookup is repeated once per salt, so rows of
-    one hot key (or of null) are dealt over ``bound.salts`` tasks.
+    shuffled by key and salt. Only hot keys (null may be one) have more than one
+    salt; their lookup rows are repeated once per salt, so the rows of one hot key
+    are dealt over ``bound.salts`` tasks. The salt hashes all columns but those with
+    maps, so it is the same when a task
+    runs again. A stream has all keys salted.
     """
     right = lookup.select(F.col(f"`{lookup_key}`").alias(_KEY), *[F.col(f"`{v}`") for v in values])
+    same_key = missing_as_null(df, key).eqNullSafe(F.col(_KEY))
     if fits_broadcast(right, bound):
-        same_key = missing_as_null(df, key).eqNullSafe(F.col(_KEY))
         return df.join(F.broadcast(right), same_key, "left").drop(_KEY)
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(bound.salts)).cast("int")
-    left = df.withColumn(_SALT, salt)
-    repeated = right.withColumn(
-        "__copy", F.explode(F.sequence(F.lit(0), F.lit(bound.salts - 1)))
-    )
+    hashed = [F.col(f"`{f.name}`") for f in df.schema.fields if not _has_map(f.dataType)]
+    salts, own = F.lit(bound.salts), [df[f"`{c}`"] for c in df.columns]
+    if df.isStreaming:  # cannot be counted before it runs: every key is salted
+        left, wide = df, right
+    else:
+        # fewer than 16 * salts rows by their definition
+        hot = F.broadcast(hot_keys(df, key, bound).withColumn("__salts", salts))
+        salts = F.coalesce("__salts", F.lit(1))
+        left = df.join(hot, missing_as_null(df, key).eqNullSafe(F.col(_HOT)), "left")
+        wide = right.join(hot, F.col(_KEY).eqNullSafe(F.col(_HOT)), "left")
+    left = left.select(*own, F.pmod(F.xxhash64(*hashed), salts).cast("int").alias(_SALT))
+    repeated = wide.select(*right.columns, F.explode(F.sequence(F.lit(0), salts - 1)).alias("__copy"))
     on = missing_as_null(left, key).eqNullSafe(F.col(_KEY)) & (F.col(_SALT) == F.col("__copy"))
     return left.join(repeated, on, "left").drop(_KEY, _SALT, "__copy")

@@ -113,7 +113,8 @@ def lenient_numbers(spark, sf):
 def null_when_nan(spark, sf):
     rows = listings(spark, sf).select("row_id", "median_list_price")
     price = F.col("median_list_price")
-    return nan_to_null(rows.withColumn("median_list_price", F.coalesce(price, F.lit(float("nan")))))
+    found = nan_to_null(rows.withColumn("median_list_price", F.coalesce(price, F.lit(float("nan")))))
+    return found.withColumns({"is_null": price.isNull(), "is_nan": F.coalesce(F.isnan(price), F.lit(False))})
 
 
 @query
@@ -603,7 +604,7 @@ def _monthly_artifacts(spark, sf):
     month = F.date_trunc("month", F.col("date").cast("timestamp")).cast("date").cast("string")
     loads = _tagged(spark, sf).groupBy("split", month.alias("month")).agg(F.count("*").alias("n_rows"))
     records = loads.select(
-        F.concat(F.lit("house_ts_"), "split").alias("name"),
+        F.concat(F.lit("listings_"), "split").alias("name"),
         F.lit("dataset").alias("type"),
         F.concat(F.lit("splits/split="), "split", F.lit("/month="), "month").alias("path"),
         "month",
@@ -621,7 +622,7 @@ def registry_latest(spark, sf):
 @query
 def preferred_artifact(spark, sf):
     """The first registered name of a list wins; the first one is not there."""
-    names = ["house_ts_tuned_model", "house_ts_eval", "house_ts_train"]
+    names = ["tuned_regressor", "listings_eval", "listings_train"]
     return registry.preferred(_monthly_artifacts(spark, sf), names).select("name", "version", "path", "n_rows")
 
 

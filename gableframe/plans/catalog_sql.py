@@ -121,7 +121,7 @@ winner AS (
   ORDER BY value, CASE model WHEN 'dummy' THEN 1 ELSE 2 END LIMIT 1
 ),
 loads AS (
-  SELECT 'house_ts_' || split AS name, split, CAST(CAST(date_trunc('month', date) AS DATE) AS VARCHAR) AS month, count(*) AS n_rows
+  SELECT 'listings_' || split AS name, split, CAST(CAST(date_trunc('month', date) AS DATE) AS VARCHAR) AS month, count(*) AS n_rows
   FROM tagged GROUP BY ALL
 ),
 versions AS (
@@ -224,7 +224,7 @@ _BODIES: dict[str, str] = {
     "city_mapping": "SELECT row_id, city_full FROM named",
     "lenient_numbers": f"""
         SELECT row_id, median_list_price, TRY_CAST(median_list_price AS DOUBLE) AS value FROM {_PRICE_TEXT}""",
-    "null_when_nan": "SELECT row_id, median_list_price FROM listing",
+    "null_when_nan": "SELECT row_id, median_list_price, median_list_price IS NULL AS is_null, false AS is_nan FROM listing",
     "parsed_dates": """
         SELECT row_id, CAST(date AS DATE) AS date, split, CAST(year(date) AS INTEGER) AS year,
                CAST(quarter(date) AS INTEGER) AS quarter, CAST(month(date) AS INTEGER) AS month FROM tagged""",
@@ -337,15 +337,14 @@ _BODIES: dict[str, str] = {
         SELECT name, version, path, n_rows FROM versions
         QUALIFY row_number() OVER (PARTITION BY name ORDER BY version DESC) = 1""",
     "preferred_artifact": """
-        SELECT name, version, path, n_rows FROM versions WHERE name = 'house_ts_eval' ORDER BY version DESC LIMIT 1""",
+        SELECT name, version, path, n_rows FROM versions WHERE name = 'listings_eval' ORDER BY version DESC LIMIT 1""",
     "registry_lineage": """
         SELECT a.name, a.version, b.name || ':v' || CAST(b.version AS VARCHAR) AS input, 'dataset' AS input_type, b.path AS input_path
         FROM versions a JOIN versions b ON a.name = b.name AND a.version = b.version + 1""",
     "metric_log": "SELECT model || '/' || split || '/' || metric AS key, round(value, 3) AS value FROM model_gap",
     "model_labels": """
-        SELECT 'Best baseline regression model for the housing price prediction pipeline. Selected model: ' || model
-               || '. Selection metric: ' || metric || '=' || format('{:.4f}', round(value, 2))
-               || '. This artifact contains the serialized best model and the full metrics comparison across candidate models.' AS description,
+        SELECT 'Lowest error of the compared regressors: ' || model || ' (' || metric || '=' || format('{:.4f}', round(value, 2))
+               || '). Saved with the errors of all that took part.' AS description,
                'model,best-model,regression,housing-price-prediction,baseline-comparison,selected-' || model || ',metric-' || metric AS tags,
                'latest,best,' || model || ',best-' || metric AS aliases
         FROM winner""",

@@ -169,7 +169,7 @@ def read_splits(
 
 def sample_requests(spark: SparkSession) -> DataFrame:
     """Two complete example requests, for a sample file."""
-    second = {**SAMPLE_REQUEST, "zipcode": 30303, "median_list_price": 455000.0}
+    second = {**SAMPLE_REQUEST, "zipcode": 80211, "homes_sold": 96.0, "inventory": 143.0}
     types = ", ".join(f"{name} {REQUEST_FIELDS[name]}" for name in SAMPLE_REQUEST)
     return spark.createDataFrame([tuple(r.values()) for r in (SAMPLE_REQUEST, second)], types)
 

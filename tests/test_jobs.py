@@ -64,9 +64,9 @@ def test_training_outputs(spark, project):
     by_rmse = {m: v["eval"]["rmse"] for m, v in saved["metrics"].items()}
     assert by_rmse[saved["best_model"]] == min(by_rmse.values()) < by_rmse["dummy"]
     assert not jobs.path_exists(spark, project.layout.model("dummy"))
-    found = project.registry.find("house_ts_best_model:best")
+    found = project.registry.find("chosen_regressor:best")
     assert f"selected-{saved['best_model']}" in found["tags"] and "best-rmse" in found["aliases"]
-    assert found["description"].startswith("Best baseline regression model")
+    assert found["description"].startswith("Lowest error of the compared regressors: ")
     assert json.loads(found["metadata"]["eval_metrics"])["rmse"] == by_rmse[saved["best_model"]]
     logged = {r.key: r.value for r in project.registry.metrics().collect()}
     assert logged["dummy/eval/rmse"] == by_rmse["dummy"] and len(logged) == 27
@@ -96,8 +96,8 @@ def test_scoring_job(spark, project):
 def test_lineage(project):
     artifacts = project.registry.artifacts()
     edges = {(r.name, r.input) for r in reg.parents(artifacts).collect()}
-    assert ("house_ts_processed", "house_ts_raw:v1") in edges
-    assert ("house_ts_best_model", "house_ts_features:v1") in edges
+    assert ("listings_by_period", "listings_raw:v1") in edges
+    assert ("chosen_regressor", "model_table:v1") in edges
     names = (CFG.registry.tuned_model, CFG.registry.best_model)
     assert reg.preferred(artifacts, names).first().path == project.layout.best
 
@@ -116,14 +116,14 @@ def test_tuning_job_and_model_choice(spark, project):
     trials = spark.read.option("header", True).csv(f"{layout.models}/trials.csv")
     assert trials.count() == 2 and {"rmse", "n_estimators"} <= set(trials.columns)
     assert jobs.choose_model_path(spark, layout) == layout.tuned
-    assert "tuned" in project.registry.find("house_ts_tuned_model")["aliases"]
+    assert "tuned" in project.registry.find("tuned_regressor")["aliases"]
 
 
 def test_candidates_are_saved_on_request(spark, project):
     jobs.run_training(project, ["dummy"], save_candidates=True)
     assert jobs.path_exists(spark, project.layout.model("dummy"))
-    assert project.registry.find("house_ts_best_model:v1")["version"] == 1
-    assert project.registry.find("house_ts_best_model:latest")["version"] == 2
+    assert project.registry.find("chosen_regressor:v1")["version"] == 1
+    assert project.registry.find("chosen_regressor:latest")["version"] == 2
     jobs.write_json(spark, {"metrics": {}}, f"{project.layout.models}/metrics")
     with pytest.raises(ValueError, match="no best model"):
         jobs.run_tuning(project)
@@ -139,7 +139,7 @@ def test_missing_inputs(spark, tmp_path):
         lambda: jobs.run_tuning(empty),
         lambda: jobs.run_scoring(empty, f"{tmp_path}/x.csv"),
         lambda: jobs.load_artifacts(empty),
-        lambda: empty.registry.find("house_ts_raw"),
+        lambda: empty.registry.find("listings_raw"),
         lambda: empty.registry.register("x", "dataset", f"{tmp_path}/none", "job"),
     ):
         with pytest.raises(FileNotFoundError):
@@ -193,7 +193,7 @@ def test_sample_file_can_be_uploaded(spark, tmp_path):
     path = str(tmp_path / "sample.csv")
     write_csv(sample_requests(spark), path)
     first, second = read_upload(spark, path).orderBy("zipcode").drop("row_id").collect()
-    assert (first.zipcode, second.zipcode, second.median_list_price) == (30301, 30303, 455000.0)
+    assert (first.zipcode, second.zipcode, second.median_list_price) == (80202, 80211, 579900.0)
     assert first.median_age == 34.8 and len(first) == 37
 
 

@@ -13,7 +13,7 @@ from gableframe.operators.clean import (
     merge_locations,
     unmatched_cities,
 )
-from gableframe.operators.lookup import fits_broadcast, lookup_join
+from gableframe.operators.lookup import fits_broadcast, hot_keys, lookup_join
 from gableframe.operators.splits import split_by_date, split_profile
 
 CFG = Settings()
@@ -117,6 +117,22 @@ def test_salted_join_equals_broadcast_with_a_hot_key(spark, rows):
     assert "__salt" in plan
 
 
+def test_only_hot_keys_are_salted_and_maps_are_allowed(spark):
+    df = spark.range(4000).select("id", F.when(F.col("id") % 2 == 0, None).otherwise(F.col("id")).alias("k"))
+    assert [tuple(r) for r in hot_keys(df, "k", SALTED).collect()] == [(None,)]
+    with_map = df.withColumn("m", F.create_map(F.lit("a"), "id"))
+    lookup = spark.range(4000).select(F.col("id").alias("key"), (F.col("id") * 2).alias("v"))
+    found = lookup_join(with_map, lookup, "k", "key", ["v"], SALTED)
+    assert found.columns == ["id", "k", "m", "v"]
+    assert found.count() == 4000 and found.where("v = 2 * k").count() == 2000 and found.where("v IS NULL").count() == 2000
+    assert lookup_join(with_map.limit(0), lookup, "k", "key", ["v"], SALTED).count() == 0
+
+
+def test_nested_columns_count_against_the_bound(spark):
+    df = spark.range(10).select(F.array_repeat(F.lit("x" * 50), 100).alias("a"))
+    assert not fits_broadcast(df, BroadcastBound(max_bytes=10_000))
+
+
 def test_duplicates_keep_first_by_date_then_row(spark, rows):
     df = spark.createDataFrame(
         [
