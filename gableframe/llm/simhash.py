@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import shingles
 from .common import components, forest, materialize, partitions_for, ship_package
 
 BITS = 64
@@ -47,12 +48,12 @@ def fingerprint(text: str | None, size: int = 3) -> int:
     if not words:
         return 0
     if len(words) < size:
-        shingles: Iterator[bytes] = iter((b" ".join(words),))
+        grams: Iterator[bytes] = iter((b" ".join(words),))
         n = 1
     else:
-        shingles = map(b" ".join, zip(*(words[i:] for i in range(size))))
+        grams = map(b" ".join, zip(*(words[i:] for i in range(size))))
         n = len(words) - size + 1
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), dtype="<u8", count=n)
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(SEED)), dtype="<u8", count=n)
     ones = np.zeros(BITS, dtype=np.int64)
     for start in range(0, n, 8192):
         part = hashes[start : start + 8192].view(np.uint8).reshape(-1, 8)
@@ -219,15 +220,20 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", le
     return marked.join(materialize(named, "simhash-named"), "fp", "left").select(key, "fp", "component")
 
 
-def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows whose key is the smallest of their component, all columns.
+def keep_one(
+    docs: DataFrame, text: str = "text", key: str = "doc_id", size: int = shingles.SIZE, similarity: float = shingles.SIMILARITY
+) -> DataFrame:
+    """The rows whose key is the smallest of their group, all columns. A group is
+    connected by pairs of texts whose shingles of ``size`` words have a Jaccard
+    similarity of at least ``similarity``; fingerprints two bits apart would miss
+    most of them.
 
-    A row with a null key stays only where no key of its component is known.
+    A row with a null key stays only where no key of its group is known.
     Rows that share a key are one document: they stay or go together, and exact
     repeats of one row (same key and text) stay once.
     """
-    named = near_duplicates(docs, text, key)
-    kept = named.where(F.col(key).eqNullSafe(F.col("component"))).groupBy(F.col(key).alias("__kept")).count()
+    named = shingles.groups(docs, text, key, size, similarity)
+    kept = named.where(F.col("key").eqNullSafe(F.col("kept.key"))).groupBy(F.col("key").alias("__kept")).count()
     kept = materialize(kept, "simhash-kept")
     # the kept keys grow with the documents: one shuffle on the key at every size
     out = docs.join(kept.select("__kept").hint("merge"), docs[key].eqNullSafe(kept["__kept"]), "left_semi")
