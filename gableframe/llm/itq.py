@@ -3,7 +3,8 @@
 A rotation of the principal axes is learned on a bounded sample so that signs
 of the rotated vector make balanced binary codes. Codes are cut into substrings;
 each substring is a table whose buckets hold the vectors with equal bits (and,
-for long substrings, are also visited by vectors one bit away). Vectors that meet
+for long substrings, are also visited by vectors one or two bits away, so that no
+pair up to 11 bits apart is missed). Vectors that meet
 in a bucket are compared by cosine on the original components in double
 precision. A pair that meets in several tables counts in the first of them only,
 so link counts add up without a list of pairs.
@@ -13,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -28,8 +30,8 @@ BITS = 64
 class Settings:
     """``sample``: vectors the rotation is learned on, at most (all are indexed).
     ``long_from``: vectors in the largest label from which tables have 16 bits
-    and are also visited from one bit away, instead of 8 bits: the number of
-    candidates per vector then falls from n/32 to n/960. ``block``: rows of a
+    and are also visited from up to two bits away, instead of 8 bits: the number of
+    candidates per vector then falls from n/32 to n/120. ``block``: rows of a
     bucket that are compared in one piece; larger buckets become pairs of blocks."""
 
     threshold: float = 0.98
@@ -150,11 +152,11 @@ def _coded(part: DataFrame, length: int, mean: np.ndarray, projection: np.ndarra
 
 
 def _compare(coded: DataFrame, length: int, rows: int, width: int, cfg: Settings) -> DataFrame:
-    tables, reach = BITS // width, int(width > 8)
+    tables, reach = BITS // width, 2 * int(width > 8)
     places = []
     for table in range(tables):
         bits = F.shiftrightunsigned("code", table * width).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
-        for probe in [0] + [1 << i for i in range(width * reach)]:
+        for probe in [sum(1 << i for i in flips) for k in range(reach + 1) for flips in combinations(range(width), k)]:
             bucket = bits.bitwiseXOR(F.lit(probe).cast("long")) + F.lit(table << width).cast("long")
             places.append(F.struct(bucket.alias("bucket"), F.lit(probe == 0).alias("own")))
     placed = coded.withColumn("place", F.explode(F.array(*places))).select("*", "place.*").drop("place")

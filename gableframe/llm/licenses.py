@@ -7,10 +7,10 @@ them, and on a bounded sample of the corpus. Its probabilities are softened by a
 temperature fitted on held-out parts. A family that is found is confirmed by
 comparing the paragraph with that family's notices.
 
-N-grams count only if they hold a word that is rare in the sampled corpus. A paragraph
-without such a word has no features and is no notice, so one pattern over the
-text decides exactly which paragraphs need scoring. Paragraphs are scored once
-however many documents repeat them. The main path is DataFrame operations.
+Every n-gram of the notices counts. A paragraph without a word of the notices has no features and is no
+notice, so one pattern over the text decides exactly which paragraphs need scoring,
+and the corpus has no part in it. Paragraphs are scored once however many documents
+repeat them. The main path is DataFrame operations.
 """
 
 from __future__ import annotations
@@ -97,18 +97,23 @@ NO_NOTICES = [
     "They asked for permission to use the library.",
     "The foundation published its terms and conditions for grants.",
 ]
+# A line with one of these may be a notice, so it never stands for text that is none.
+LICENCE_WORDS = (
+    "agpl apache bsd by cc cc0 commons confidential copyright copyrighted creative domain gnu gpl lgpl licence licences "
+    "licensed license licenses licensing mit mozilla mpl nc permission permissions proprietary redistribute redistribution "
+    "reserved rights sa unencumbered unlicense warranties warranty"
+).split()
 
 
 @dataclass(frozen=True)
 class Settings:
     """``sample``: documents whose paragraphs stand for text that is no notice, at
-    most. ``usual``: share of those paragraphs from which a word is an ordinary one.
+    most.
     ``accept``: calibrated probability from which a family is named.
     ``confirm``: share of common word pairs, of the shorter of paragraph and notice,
     that confirms it."""
 
     sample: int = 400
-    usual: float = 0.002
     accept: float = 0.5
     confirm: float = 0.5
     penalty: float = 0.003
@@ -150,13 +155,13 @@ class Model:
     families: tuple[str, ...]  # the last one is unknown
     weights: tuple[tuple[str, tuple[float, ...]], ...]  # n-gram, weight per family
     intercepts: tuple[float, ...]
-    triggers: tuple[str, ...]  # words one of which every n-gram holds
+    triggers: tuple[str, ...]  # all words of the notices; every n-gram holds one
 
 
 def fit(docs: DataFrame, cfg: Settings = Settings(), key: str = "doc_id", text: str = "text") -> Model:
     """Trains on the notices and a sample of the corpus; the sample is by hash of the
-    key, and of it only the words and paragraphs without licence words reach the
-    driver's side of training."""
+    key, and only its paragraphs without licence words stand for text that is no
+    notice. Which paragraphs are scored does not depend on the corpus."""
     spark = docs.sparkSession
     chosen = docs.select(F.col(key).alias("__key")).where("__key IS NOT NULL").distinct().orderBy(F.xxhash64("__key"), "__key").limit(cfg.sample)
     chosen = materialize(chosen, "license-sample")
@@ -165,20 +170,11 @@ def fit(docs: DataFrame, cfg: Settings = Settings(), key: str = "doc_id", text:
     notices += [(UNKNOWN, part) for part in NO_NOTICES]
     known = spark.createDataFrame(notices, "family string, p string")
     licence_words = known.where(F.col("family") != UNKNOWN).select(F.explode(words(F.col("p"))).alias("w")).distinct()
-    # paragraphs that share word pairs with notices must not teach that notices are ordinary
-    pairs = [r["g"] for r in known.where(F.col("family") != UNKNOWN).select(F.explode(ngrams(words(F.col("p")), 2, 2)).alias("g")).distinct().collect()]
-    shared = F.size(F.array_intersect(ngrams(words(F.col("p")), 2, 2), F.array(*map(F.lit, pairs))))
-    clear = materialize(sampled.where(shared < 2), "license-clear")
-    often = max(2, math.ceil(cfg.usual * clear.count()))
-    counts = clear.select(F.explode(F.array_distinct(words(F.col("p")))).alias("w")).groupBy("w").count()
-    usual = counts.where(F.col("count") >= often).select("w")
-    triggers = sorted(r["w"] for r in licence_words.join(usual, "w", "left_anti").collect())
-    if not triggers:
-        return Model((*NOTICES, UNKNOWN), (), (0.0,) * len(NOTICES) + (1.0,), ())
-    held = F.array(*map(F.lit, triggers))
-    grams = F.filter(ngrams(words(F.col("p")), 1, 3), lambda g: F.arrays_overlap(F.split(g, " "), held))
+    triggers = sorted(r["w"] for r in licence_words.collect())
+    # lines that may be notices must not teach that notices are ordinary
+    clear = sampled.where(~F.arrays_overlap(words(F.col("p")), F.array(*map(F.lit, LICENCE_WORDS))))
     negatives = clear.select(F.lit(UNKNOWN).alias("family"), "p").orderBy(F.xxhash64("p")).limit(4 * cfg.sample)
-    table = known.union(negatives).select("family", "p", grams.alias("grams"))
+    table = known.union(negatives).select("family", "p", words(F.col("p")).alias("ws")).select("family", "p", ngrams(F.col("ws"), 1, 3).alias("grams"))
     table = materialize(table.withColumn("fold", F.pmod(F.xxhash64("p"), F.lit(4))), "license-train")
     families = (*NOTICES, UNKNOWN)
     number = F.array_position(F.array(*map(F.lit, families)), F.col("family")).cast("double") - 1
@@ -213,7 +209,9 @@ def classify(texts: DataFrame, model: Model, cfg: Settings = Settings()) -> Data
     k = len(model.families)
     # vocabulary and notices come from the fixed list above, so their size is fixed
     weights = F.broadcast(spark.createDataFrame(list(model.weights), "gram string, w array<double>"))
-    grams = texts.select("p", F.explode(ngrams(words(F.col("p")), 1, 3)).alias("gram")).join(weights, "gram")
+    # words are split once, not for every n-gram
+    split = texts.select("p", words(F.col("p")).alias("ws"))
+    grams = split.select("p", F.explode(ngrams(F.col("ws"), 1, 3)).alias("gram")).join(weights, "gram")
     sums = grams.groupBy("p").agg(F.array(*(F.sum(F.col("w")[i]) for i in range(k))).alias("z"))
     z = F.transform(F.zip_with("z", F.array(*map(F.lit, model.intercepts)), lambda a, b: a + b), lambda x: x)
     top = sums.withColumn("z", z).withColumn("top", F.array_max("z"))

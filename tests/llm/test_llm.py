@@ -136,6 +136,22 @@ def test_itq(spark, cfg):
     assert len(got) == len(rows) + len(bad)
 
 
+def test_itq_finds_as_much_in_large_labels(spark):
+    """Vectors with a strong common mean: tables of 16 bits miss no more than those of 8."""
+    rng = np.random.default_rng(12)
+    mean = 3 * rng.standard_normal(64)
+    base = mean + rng.standard_normal((150, 64))
+    noise = rng.standard_normal(base.shape)
+    noise *= 0.2 * np.linalg.norm(base, axis=1, keepdims=True) / np.linalg.norm(noise, axis=1, keepdims=True)
+    both = np.concatenate([base, base + noise])
+    rows = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(both)], "vec_id long, embedding array<double>, label int")
+    unit = both / np.linalg.norm(both, axis=1, keepdims=True)
+    links = (unit @ unit.T >= 0.98).sum() - len(both)
+    small, large = (sum(r.n_links for r in itq.near_duplicates(rows, cfg=cfg).collect()) / links for cfg in (itq.Settings(), itq.Settings(long_from=1)))
+    print("itq recall", links, small, large)
+    assert links > 100 and large >= 0.9 and large >= small - 0.01
+
+
 def test_encoder(tokenizer, odd):
     encoder = Encoder(tokenizer, words_held=50)
     texts = [t for _, t, _ in odd] + ["Don't, STOP!! a.,b ﬁ İ ΟΔΟΣ. x\x1cy <|endoftext|>. <|ENDOFTEXT|> 12,5. é 日本,"]
@@ -323,6 +339,16 @@ def test_licenses(spark):
     assert licenses.scan(docs.limit(0), licenses.fit(docs)).count() == 0
 
 
+def test_licenses_where_headers_are_common(spark):
+    """Short headers in a third of the corpus: still scored, still found, no negatives."""
+    rows = [(i, f"The and of tion {i} ence.\n" + ("License: MIT\nReleased under the MIT License." if i % 3 == 0 else "An other line of the text")) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = licenses.fit(docs)
+    assert {"mit", "license", "by", "or", "no"} <= set(model.triggers)
+    got = {r.doc_id: r.license for r in licenses.scan(docs, model).collect()}
+    assert all(got[i] == ("mit" if i % 3 == 0 else "unknown") for i in range(90))
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
