@@ -1,6 +1,7 @@
 """Operators against brute force on small tables with nulls, ties and repeats."""
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -14,9 +15,19 @@ from pyspark.sql import functions as F
 from gableframe.llm import common, decontaminate, html_text, itq, kd_shards, licenses, packing, quality, shingles, simhash, token_store, url_lists
 from gableframe.llm.tokens import Encoder
 
+DATA = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, shard string"
 
 
+@pytest.fixture(scope="session")
+def tokenizer():
+    from gableframe.llm.catalog import tokenizer_file
+
+    path = tokenizer_file()
+    assert os.path.exists(path)
+    return path
+
+
 def make_docs(spark, rows):
     return spark.createDataFrame([(i, t, "en", s, len(t or ""), "x") for i, t, s in rows], DOCS)
 
