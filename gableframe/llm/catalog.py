@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.workspace import scratch_path
-from . import decontaminate, html_text, itq, kd_shards, licenses, packing, quality, simhash, token_store, url_lists
+from . import decontaminate, html_text, itq, kd_shards, licenses, likelihood, packing, quality, simhash, spelling, token_store, url_lists, vector_codes
+from .catalog_sql import ORACLE_SQL
 
 
 def tokenizer_file() -> str:
@@ -86,6 +87,22 @@ def op10_token_store(spark: SparkSession, folder: str) -> DataFrame:
     return token_store.read_store(spark, store, listed)
 
 
+def op11_adaptive_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """All vectors, in 16 parts of 64 entries; see ``vector_codes`` for the defined cases."""
+    return vector_codes.report(_table(spark, folder, "embeddings"))
+
+
+def op12_target_likelihood(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents, against those whose labels are good; see ``likelihood``."""
+    docs = _table(spark, folder, "documents")
+    return likelihood.judge(docs, likelihood.fit(docs, _table(spark, folder, "labels")))
+
+
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """All words of all documents; see ``spelling`` for the defined cases."""
+    return spelling.variants(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -99,6 +116,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_positional_index,
         op9_itq_vectors,
         op10_token_store,
+        op11_adaptive_codes,
+        op12_target_likelihood,
+        op13_spelling_variants,
     )
 }
 
@@ -141,4 +161,4 @@ SELECT p.page_id, epoch_us(p.fetched) AS fetched_us,
        m.kind, m.pattern, epoch_us(m.ts) AS since_us
 FROM parts p LEFT JOIN (SELECT * FROM met WHERE place = 1) m USING (page_id)
 """
-}
+} | ORACLE_SQL
