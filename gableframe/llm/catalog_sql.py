@@ -62,8 +62,7 @@ counted AS (
   SELECT bucket, count(*) AS raw, count(t.doc_id) AS good FROM grams g LEFT JOIN trusted t ON g.doc_id = t.doc_id GROUP BY bucket),
 total AS (SELECT sum(raw)::DOUBLE AS raws, sum(good)::DOUBLE AS goods FROM counted),
 weights AS (
-  SELECT bucket, CASE WHEN goods = 0 THEN 0 ELSE
-         round_even(1e6 * ln((good + 1) / (goods + 16384) / ((raw + 1) / (raws + 16384))), 0)::BIGINT END AS w FROM counted, total),
+  SELECT bucket, round_even(1e6 * ln((good + 4) / (raw * (goods / raws) + 4)), 0)::BIGINT AS w FROM counted, total),
 ratio AS (SELECT doc_id, count(*) AS n_grams, sum(w)::BIGINT AS ratio_micro FROM grams JOIN weights USING (bucket) GROUP BY doc_id),
 words AS (
   SELECT doc_id, w AS word, i FROM (

@@ -47,6 +47,7 @@ MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 
 class Settings(NamedTuple):
     buckets: int = 1 << 14
+    prior: int = 4  # occurrences of either multinomial that are assumed in every bucket, at a ratio of one
     sample: int = 100_000  # trusted documents the target is counted on, at most; the corpus is counted whole
     threshold_micro: int = -300_000  # least mean log ratio, in millionths
     least_words: int = 10
@@ -140,8 +141,9 @@ def trusted_ids(labels: DataFrame, key: str, sample: int) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, cfg: Settings = Settings(), text: str = "text", key: str = "doc_id") -> np.ndarray:
-    """Weight of every bucket in millionths: the logarithm of its share in trusted
-    documents over its share in all, one added to each count.
+    """Weight of every bucket in millionths: the logarithm of its count in trusted
+    documents over the count its share of the whole corpus lets expect there, the
+    prior added to both. So a bucket of which little is known weighs little.
 
     A task counts its own rows and gives one row per bucket; the driver receives
     one row per bucket in all.
@@ -167,9 +169,8 @@ def fit(docs: DataFrame, labels: DataFrame, cfg: Settings = Settings(), text: st
     raw, good = np.zeros(cfg.buckets), np.zeros(cfg.buckets)
     for row in found.collect():
         raw[row.bucket], good[row.bucket] = row.raw, row.good
-    if not good.any():
-        return np.zeros(cfg.buckets, dtype=np.int64)
-    ratio = np.log((good + 1) / (good.sum() + cfg.buckets) / ((raw + 1) / (raw.sum() + cfg.buckets)))
+    expected = raw * (good.sum() / max(raw.sum(), 1))
+    ratio = np.log((good + cfg.prior) / (expected + cfg.prior))
     return np.rint(ratio * MICRO).astype(np.int64)
 
 
