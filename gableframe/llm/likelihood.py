@@ -35,7 +35,7 @@ from .common import ship_package
 MICRO = 1_000_000
 PAIR = 1_000_003  # multiplies the first word's hash in that of a pair
 WINDOW = 5
-_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 #: Runs of letters and digits, or of ASCII punctuation.
 TOKEN = re.compile("[0-9A-Za-z\x80-\U0010ffff]+|[!-/:-@\\[-`{-~]+")
 _BREAK = re.compile("[\x00- \x7f]")
@@ -92,7 +92,7 @@ def _pieces(text: str) -> Iterator[str]:
 def grams(text: str | None, buckets: int) -> Iterator[np.ndarray]:
     """Bucket of every word and of every pair of neighbours, in pieces."""
     last = np.empty(0, dtype=np.int64)
-    for piece in _pieces((text or "").translate(_LOWER)):
+    for piece in _pieces((text or "").encode().translate(_LOWER).decode()):
         words = TOKEN.findall(piece)
         one = np.fromiter(map(_hashes.__getitem__, words), dtype=np.int64, count=len(words))
         run = np.concatenate([last, one])
@@ -103,18 +103,22 @@ def grams(text: str | None, buckets: int) -> Iterator[np.ndarray]:
 
 def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
     """Words inside windows that stand in the text twice or more. Windows are
-    compared exactly, by ranks of ever longer runs of words."""
+    compared exactly, by ranks of ever longer runs of words; a run that stands there
+    once begins no such window and is left out."""
     n = len(words) - window + 1
     number: dict[bytes, int] = {}
     one = np.fromiter((number.setdefault(w, len(number)) for w in words), dtype=np.int64, count=len(words))
     if n < 2 or len(number) == len(words):
         return 0
-    run = one
+    at = np.flatnonzero(np.bincount(one)[one[:n]] > 1)
+    run = one[at]
     for i in range(1, window):
-        run = np.unique(run[:-1] * len(number) + one[i:], return_inverse=True)[1]
-    again = np.bincount(run)[run] > 1
+        _, run, times = np.unique(run * len(number) + one[at + i], return_inverse=True, return_counts=True)
+        again = times[run] > 1
+        at, run = at[again], run[again]
+        if not len(at):
+            return 0
     edge = np.zeros(len(words) + 1, dtype=np.int64)
-    at = np.flatnonzero(again)
     np.add.at(edge, at, 1)
     np.add.at(edge, at + window, -1)
     return int((np.cumsum(edge[:-1]) > 0).sum())
