@@ -138,6 +138,12 @@ class Prepared:
     def release(self) -> None:
         self.frame.unpersist()
 
+    def __enter__(self) -> Prepared:
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.release()
+
 
 def prepare(features: DataFrame, cfg: Settings, columns: Sequence[str] | None = None) -> Prepared:
     """Assemble the train and eval rows of a feature table.

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,7 +35,6 @@ SMALL = SETTINGS.with_(
 )
 # Features of the models whose predictions SQL can reproduce.
 ONE_FEATURE = ("homes_sold",)
-SCORING_COLUMNS = ("homes_sold", "zipcode_freq", "city_full_encoded", "park")
 
 
 def query(fn):
@@ -358,9 +358,8 @@ def standard_scale(spark, sf):
 
 def _one_feature(spark, sf, name):
     rows = _kept(spark, sf)
-    prepared = learners.prepare(rows, SETTINGS, ONE_FEATURE)
-    model = learners.whole_model(prepared, learners.fit_stages(name, prepared, SETTINGS.train))
-    prepared.release()
+    with learners.prepare(rows, SETTINGS, ONE_FEATURE) as prepared:
+        model = learners.whole_model(prepared, learners.fit_stages(name, prepared, SETTINGS.train))
     scored = model.transform(rows).select("row_id", "split", F.col("prediction").alias("predicted_price"))
     return _rounded(scored, "predicted_price")
 
@@ -423,20 +422,31 @@ def _prepared(spark, sf):
 
 
 def _learner(spark, sf, *names):
-    prepared = _prepared(spark, sf)
-    found = materialize(learners.train_candidates(prepared, SMALL, names)[1], "metrics")
-    prepared.release()
+    with _prepared(spark, sf) as prepared:
+        found = materialize(learners.train_candidates(prepared, SMALL, names)[1], "metrics")
     return _rounded(found, "value", digits=4)
 
 
+def _wide_model(name, features):
+    """A linear model on every column of the feature table."""
+    with learners.prepare(features, SETTINGS) as prepared:
+        return learners.whole_model(prepared, learners.fit_stages(name, prepared, SETTINGS.train))
+
+
+def _wide_predictions(spark, sf, name):
+    features = materialize(_features(spark, sf)[0], "features")
+    scored = _wide_model(name, features).transform(features)
+    return scored.select("row_id", "split", F.round("prediction").alias("predicted_price"))
+
+
 @query
 def ols_full(spark, sf):
-    return _learner(spark, sf, "linear_regression")
+    return _wide_predictions(spark, sf, "linear_regression")
 
 
 @query
 def ridge_full(spark, sf):
-    return _learner(spark, sf, "ridge")
+    return _wide_predictions(spark, sf, "ridge")
 
 
 @query
@@ -456,23 +466,23 @@ def all_candidates(spark, sf):
 
 @query
 def tuned_trials(spark, sf):
-    prepared = _prepared(spark, sf)
-    trials = tune(prepared, SMALL, spark).trials
-    prepared.release()
-    return trials
+    with _prepared(spark, sf) as prepared:
+        return tune(prepared, SMALL, spark).trials
 
 
 # --- scoring ---------------------------------------------------------------
 
 
 def _artifacts(spark, sf):
-    """A linear model on one feature, with encoders and a wider feature schema."""
+    """The linear model on all features, saved and loaded again, with its encoders;
+    the version is that of the saved files."""
     features, encoders = _features(spark, sf)
-    prepared = learners.prepare(features, SETTINGS, ONE_FEATURE)
-    stages = learners.fit_stages("linear_regression", prepared, SETTINGS.train)
-    model = learners.whole_model(prepared, stages)
-    prepared.release()
-    return Artifacts(model, encoders, SCORING_COLUMNS, version="best_model@sha256:00000000@local")
+    features = materialize(features, "features")
+    path = f"{scratch_path(spark, 'model')}/best_model"
+    _wide_model("linear_regression", features).write().overwrite().save(path)
+    skip = {"split", "row_id", SETTINGS.features.target_column}
+    columns = tuple(c for c in features.columns if c not in skip)
+    return Artifacts(PipelineModel.load(path), encoders, columns, version=registry.version_text(spark, path, "local"))
 
 
 @query
@@ -507,7 +517,8 @@ def _file_scored(spark, sf):
 
 @query
 def file_scoring(spark, sf):
-    return _rounded(_file_scored(spark, sf), "city_full_encoded", "predicted_price", "prediction_error")
+    scored = _rounded(_file_scored(spark, sf), "city_full_encoded")
+    return _rounded(scored, "predicted_price", "prediction_error", digits=0)
 
 
 @query
@@ -517,8 +528,9 @@ def file_scoring_metrics(spark, sf):
 
 
 def _shown(scored):
-    shown = scored.withColumn("missing_features", F.array_join("missing_features", ","))
-    return _rounded(shown, "predicted_price")
+    """Without the model version: the files of a fit that is repeated differ in their time stamps."""
+    shown = scored.withColumn("missing_features", F.array_join("missing_features", ",")).drop("model_version")
+    return _rounded(shown, "predicted_price", digits=0)
 
 
 @query

@@ -2,6 +2,48 @@
 
 from __future__ import annotations
 
+# Columns of the feature table that the full linear models read.
+WIDE = ("year", "quarter", "month", "median_list_price", "homes_sold", "inventory", "lat", "lng", "zipcode_freq", "city_full_encoded")
+
+
+def linear_fit(name: str, rows: str, alpha: float, width: int = len(WIDE)) -> str:
+    """Steps that fit ``price`` to the list ``x`` of ``rows``: missing values take the
+    mean, columns are scaled by their population deviation, the Gram matrix has
+    ``alpha`` on its diagonal and is eliminated column by column. ``{name}`` is one
+    row of lists: weight, mean and deviation by column, and the mean price."""
+    steps = [
+        f"""{name}_mean AS MATERIALIZED (SELECT i, avg(x[i]) AS m FROM {rows}, range(1, {width + 1}) r(i) GROUP BY i),
+{name}_dev AS MATERIALIZED (
+  SELECT i, any_value(m) AS m, stddev_pop(coalesce(x[i], m)) AS d FROM {rows} CROSS JOIN {name}_mean GROUP BY i),
+{name}_scale AS MATERIALIZED (SELECT list(m ORDER BY i) AS m, list(d ORDER BY i) AS d, (SELECT avg(price) FROM {rows}) AS y FROM {name}_dev),
+{name}_rows AS MATERIALIZED (
+  SELECT list_transform(range(1, {width + 1}), lambda i: (coalesce(x[i], m[i]) - m[i]) / d[i]) || [price - y] AS z FROM {rows}, {name}_scale),
+{name}_0 AS MATERIALIZED (
+  SELECT i, j, sum(z[i] * z[j]) + CASE WHEN i = j THEN {alpha} ELSE 0 END AS v
+  FROM {name}_rows, range(1, {width + 1}) r(i), range(1, {width + 2}) c(j) GROUP BY i, j)"""
+    ]
+    for k in range(1, width + 1):
+        old = f"{name}_{k - 1}"
+        steps.append(
+            f"""{name}_{k} AS MATERIALIZED (
+  SELECT g.i, g.j, CASE WHEN g.i = {k} THEN g.v / p.v ELSE g.v - h.v * t.v / p.v END AS v
+  FROM {old} g JOIN {old} t ON t.i = {k} AND t.j = g.j JOIN {old} h ON h.i = g.i AND h.j = {k}
+  CROSS JOIN (SELECT v FROM {old} WHERE i = {k} AND j = {k}) p)"""
+        )
+    steps.append(f"{name} AS MATERIALIZED (SELECT (SELECT list(v ORDER BY i) FROM {name}_{width} WHERE j = {width + 1}) AS w, m, d, y FROM {name}_scale)")
+    return ",\n".join(steps)
+
+
+def linear_value(x: str, width: int = len(WIDE)) -> str:
+    """The prediction for a list of values by the lists of a fit."""
+    return f"y + list_sum(list_transform(range(1, {width + 1}), lambda i: w[i] * (coalesce(({x})[i], m[i]) - m[i]) / d[i]))"
+
+
+def wide_list(**given: str) -> str:
+    """The features as a list of doubles, some of them spelled out."""
+    return "[" + ", ".join(f"CAST({given.get(c, c)} AS DOUBLE)" for c in WIDE) + "]"
+
+
 # Named steps that the queries below build on.
 _STEPS = """
 WITH order_lines AS (
@@ -50,13 +92,10 @@ lookup AS (
     SELECT *, row_number() OVER (PARTITION BY metro_full ORDER BY row_id) AS rn FROM metro_named) WHERE rn = 1
 ),
 plain AS (
-  SELECT * REPLACE (trim(regexp_replace(replace(replace(lower(city_full), '–', '-'), '—', '-'), '\\s+', ' ', 'g')) AS city_full)
-  FROM tagged
+  SELECT * REPLACE ({PLAIN_CITY} AS city_full) FROM tagged
 ),
 named AS (
-  SELECT * REPLACE (CASE city_full WHEN 'nation_3-europe' THEN 'nation_8-europe'
-                                   WHEN 'nation_5-africa' THEN 'nation_0-africa' ELSE city_full END AS city_full)
-  FROM plain
+  SELECT * REPLACE ({MAPPED_CITY} AS city_full) FROM plain
 ),
 placed AS (
   SELECT named.*, lat, lng FROM named LEFT JOIN lookup ON city_full IS NOT DISTINCT FROM metro_full
@@ -92,6 +131,11 @@ encoded AS (
   CROSS JOIN prior
 ),
 labelled AS (SELECT * FROM encoded WHERE price IS NOT NULL),
+wide AS MATERIALIZED (
+  SELECT row_id, split, price, {WIDE_ROW} AS x FROM encoded
+),
+wide_train AS MATERIALIZED (SELECT x, price FROM wide WHERE split = 'train' AND price IS NOT NULL),
+{OLS},
 fit AS (
   SELECT regr_slope(price, homes_sold) AS slope, regr_intercept(price, homes_sold) AS intercept,
          avg(homes_sold) AS mean_x, stddev_pop(homes_sold) AS dev_x, avg(price) AS mean_y,
@@ -144,21 +188,22 @@ holdout_unique AS (
     FROM named WHERE split = 'holdout') WHERE rn = 1
 ),
 file_scored AS (
-  SELECT row_id, homes_sold, coalesce(zipcode_freq, 0) AS zipcode_freq,
-         coalesce(city_full_encoded, prior) AS city_full_encoded, 0 AS park,
-         intercept + slope * coalesce(homes_sold, mean_x) AS predicted_price, price AS actual_price,
-         intercept + slope * coalesce(homes_sold, mean_x) - price AS prediction_error
-  FROM holdout_unique AS h
-  LEFT JOIN freq ON h.zipcode IS NOT DISTINCT FROM freq.zipcode
-  LEFT JOIN city_codes ON h.city_full IS NOT DISTINCT FROM city_codes.city_full
-  CROSS JOIN prior CROSS JOIN fit
-  WHERE median_list_price IS NULL OR median_list_price <= 100000
+  SELECT * EXCLUDE (price, w, m, d, y), {WIDE_VALUE} AS predicted_price, price AS actual_price, {WIDE_VALUE} - price AS prediction_error
+  FROM (
+    SELECT row_id, CAST(year(date) AS INTEGER) AS year, CAST(quarter(date) AS INTEGER) AS quarter, CAST(month(date) AS INTEGER) AS month,
+           median_list_price, homes_sold, inventory, lat, lng, coalesce(zipcode_freq, 0) AS zipcode_freq,
+           coalesce(city_full_encoded, prior) AS city_full_encoded, price
+    FROM holdout_unique AS h
+    LEFT JOIN lookup ON h.city_full IS NOT DISTINCT FROM metro_full
+    LEFT JOIN freq ON h.zipcode IS NOT DISTINCT FROM freq.zipcode
+    LEFT JOIN city_codes ON h.city_full IS NOT DISTINCT FROM city_codes.city_full
+    CROSS JOIN prior
+    WHERE median_list_price IS NULL OR median_list_price <= 100000) CROSS JOIN ols
 ),
 request_scored AS (
   SELECT row_id AS request_id, price,
          CASE WHEN median_list_price IS NULL OR median_list_price <= 100000
-              THEN intercept + slope * coalesce(homes_sold, 0) END AS predicted_price,
-         'best_model@sha256:00000000@local' AS model_version,
+              THEN {REQUEST_VALUE} END AS predicted_price,
          list_filter([
            CASE WHEN median_sale_price IS NULL THEN 'median_sale_price' END,
            CASE WHEN median_list_price IS NULL THEN 'median_list_price' END,
@@ -173,10 +218,17 @@ request_scored AS (
            'unemployed_population', 'total_school_age_population', 'total_school_enrollment', 'median_commute_time'
          ], lambda x: x IS NOT NULL) AS missing,
          CASE WHEN median_list_price > 100000 THEN 'price_above_limit' END AS reject_reason
-  FROM listing CROSS JOIN fit
+  FROM (
+    SELECT l.* EXCLUDE (year), CAST(year(date) AS INTEGER) AS year, quarter(date) AS quarter, month(date) AS month, lat, lng,
+           coalesce(zipcode_freq, 0) AS zipcode_freq, coalesce(city_full_encoded, prior) AS city_full_encoded
+    FROM ({NAMED_LISTING}) AS l
+    LEFT JOIN lookup ON l.city_full IS NOT DISTINCT FROM metro_full
+    LEFT JOIN freq ON l.zipcode IS NOT DISTINCT FROM freq.zipcode
+    LEFT JOIN city_codes ON l.city_full IS NOT DISTINCT FROM city_codes.city_full
+    CROSS JOIN prior) CROSS JOIN ols
 ),
 requests_shown AS (
-  SELECT request_id, price, round(predicted_price, 2) AS predicted_price, model_version,
+  SELECT request_id, price, round(predicted_price) AS predicted_price,
          array_to_string(missing, ',') AS missing_features, CAST(len(missing) AS INTEGER) AS missing_optional_count,
          reject_reason
   FROM request_scored
@@ -292,6 +344,9 @@ _BODIES: dict[str, str] = {
         SELECT row_id, split,
                round(mean_y + (sxy / dev_x) / (sxx / (dev_x * dev_x) + 1) * (coalesce(homes_sold, mean_x) - mean_x) / dev_x, 2) AS predicted_price
         FROM cleaned CROSS JOIN fit""",
+    "ols_full": f"SELECT row_id, split, round({linear_value('x')}) AS predicted_price FROM wide CROSS JOIN ols",
+    "ridge_full": f""", {linear_fit("ridge", "wide_train", 1)}
+        SELECT row_id, split, round({linear_value('x')}) AS predicted_price FROM wide CROSS JOIN ridge""",
     "regression_metrics": """
         SELECT split, round(mae, 2) AS mae, round(rmse, 2) AS rmse, round(r2, 8) AS r2 FROM model_wide WHERE model = 'city'""",
     "metric_gap": "SELECT model, split, metric, round(value, 3) AS value FROM model_gap",
@@ -311,8 +366,8 @@ _BODIES: dict[str, str] = {
         SELECT count(*) AS n_rows, round(avg(abs(city_full_encoded - price)), 2) AS mae,
                round(sqrt(avg((city_full_encoded - price) ** 2)), 2) AS rmse FROM labelled""",
     "file_scoring": """
-        SELECT * REPLACE (round(city_full_encoded, 2) AS city_full_encoded, round(predicted_price, 2) AS predicted_price,
-                          round(prediction_error, 2) AS prediction_error) FROM file_scored""",
+        SELECT * REPLACE (round(city_full_encoded, 2) AS city_full_encoded, round(predicted_price) AS predicted_price,
+                          round(prediction_error) AS prediction_error) FROM file_scored""",
     "file_scoring_metrics": """
         SELECT round(avg(abs(prediction_error)), 2) AS mae, round(sqrt(avg(prediction_error ** 2)), 2) AS rmse,
                round(1 - sum(prediction_error ** 2) / (var_pop(actual_price) * count(*)), 8) AS r2
@@ -351,4 +406,22 @@ _BODIES: dict[str, str] = {
     "baseline_report": "SELECT model, split, metric, round(value, 3) AS value FROM model_long",
 }
 
-ORACLE: dict[str, str] = {name: f"{_STEPS}{body}" for name, body in _BODIES.items()}
+_PLAIN = r"trim(regexp_replace(replace(replace(lower(city_full), '–', '-'), '—', '-'), '\s+', ' ', 'g'))"
+_MAPPED = """CASE city_full WHEN 'nation_3-europe' THEN 'nation_8-europe'
+                                   WHEN 'nation_5-africa' THEN 'nation_0-africa' ELSE city_full END"""
+# What the steps are completed with.
+_PARTS = {
+    "PLAIN_CITY": _PLAIN,
+    "MAPPED_CITY": _MAPPED,
+    "NAMED_LISTING": f"SELECT * REPLACE ({_MAPPED} AS city_full) FROM (SELECT * REPLACE ({_PLAIN} AS city_full) FROM listing)",
+    "WIDE_ROW": wide_list(year="year(date)", quarter="quarter(date)", month="month(date)"),
+    "OLS": linear_fit("ols", "wide_train", 0),
+    "WIDE_VALUE": linear_value(wide_list()),
+    # an optional field without a value is 0; a place that is not found stays missing
+    "REQUEST_VALUE": linear_value(wide_list(**{c: f"coalesce({c}, 0)" for c in ("median_list_price", "homes_sold", "inventory")})),
+}
+_COMPLETE = _STEPS
+for _name, _part in _PARTS.items():
+    _COMPLETE = _COMPLETE.replace(f"{{{_name}}}", _part)
+
+ORACLE: dict[str, str] = {name: f"{_COMPLETE}{body}" for name, body in _BODIES.items()}
