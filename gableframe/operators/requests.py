@@ -21,26 +21,61 @@ _TEXTS = tuple(n for n, t in REQUEST_FIELDS.items() if t == "string")
 _NUMBERS = tuple(n for n, t in REQUEST_FIELDS.items() if t != "string")
 
 
-def _text(name: str) -> Column:
+def _text(sent: Column, name: str) -> Column:
     """A text field; null when it was not sent as text."""
-    value = F.col(f"{_SENT}.{name}")
+    value = sent[name]
     return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string"))
 
 
-def _number(name: str) -> Column:
+def _number(sent: Column, values: Column, name: str) -> Column:
     """A number field, also sent as numeric text; an integer has no fraction."""
-    value = F.get(_VALUES, F.lit(_NUMBERS.index(name)))
+    value = F.get(values, F.lit(_NUMBERS.index(name)))
     if REQUEST_FIELDS[name] == "bigint":
         # plain digits are read as they are: a double would change large ones
-        exact = F.trim(F.col(f"{_SENT}.{name}").cast("string")).try_cast("bigint")
+        exact = F.trim(sent[name].cast("string")).try_cast("bigint")
         return F.when(value == F.floor(value), F.coalesce(exact, value.try_cast("bigint")))
     return value
 
 
+def _field(sent: Column, values: Column, name: str) -> Column:
+    return _text(sent, name) if name in _TEXTS else _number(sent, values, name)
+
+
 def _names(names) -> Column:
     return F.array(*[F.lit(n) for n in names])
 
 
+def _number_texts(sent: Column) -> Column:
+    return F.array(*[sent[n] for n in _NUMBERS])
+
+
+def _reasons(sent: Column, keys: Column, values: Column) -> Column:
+    """Why a record is refused: sorted, empty when it is not."""
+    texts = _number_texts(sent)
+    unread = F.zip_with(texts, values, lambda text, number: text.isNotNull() & number.isNull())
+    wrong_numbers = F.zip_with(_names(_NUMBERS), unread, lambda name, bad: F.when(bad, name))
+    wrong_required = [
+        F.when(F.array_contains(keys, n) & _field(sent, values, n).isNull(), F.lit(n)) for n in REQUIRED_FIELDS
+    ]
+    date = _text(sent, "date")
+    bad_date = F.when(date.isNotNull() & F.try_to_timestamp(date).isNull(), F.lit("date"))
+
+    def told(kind: str, names: Column) -> Column:
+        return F.transform(names, lambda n: F.concat(F.lit(f"{kind}:"), n))
+
+    reasons = F.concat(
+        told("missing", F.array_except(_names(REQUIRED_FIELDS), keys)),
+        told("unknown", F.array_except(keys, _names(REQUEST_FIELDS))),
+        told("type", F.array_distinct(F.array_compact(F.concat(wrong_numbers, F.array(*wrong_required))))),
+        told("date", F.array_compact(F.array(bad_date))),
+    )
+    return F.when(keys.isNull(), _names(["invalid"])).otherwise(F.sort_array(reasons))
+
+
+def _typed(sent: Column, values: Column) -> Column:
+    return F.struct(*[_field(sent, values, n).alias(n) for n in REQUEST_FIELDS])
+
+
 def parse_requests(df: DataFrame, json_column: str) -> DataFrame:
     """Adds ``request`` (typed struct, null when rejected) and ``reject_reasons``
     (sorted; empty when accepted).
@@ -53,39 +88,81 @@ def parse_requests(df: DataFrame, json_column: str) -> DataFrame:
     The 35 number fields go through one function over an array: spelled out, they
     make a method too long for the JVM to compile.
     """
-    texts = F.array(*[F.col(f"{_SENT}.{n}") for n in _NUMBERS])
+    sent, keys, values = F.col(_SENT), F.col(_KEYS), F.col(_VALUES)
     parsed = (
         df.withColumn(_SENT, F.from_json(json_column, _SENT_TYPES))
         .withColumn(_KEYS, F.json_object_keys(json_column))
-        .withColumn(_VALUES, F.transform(texts, number_in_text))
+        .withColumn(_VALUES, F.transform(_number_texts(sent), number_in_text))
+    )
+    return (
+        parsed.withColumn("reject_reasons", _reasons(sent, keys, values))
+        .withColumn("request", F.when(F.size("reject_reasons") == 0, _typed(sent, values)))
+        .drop(_SENT, _KEYS, _VALUES)
     )
-    unread = F.zip_with(texts, _VALUES, lambda text, number: text.isNotNull() & number.isNull())
-    wrong_numbers = F.zip_with(_names(_NUMBERS), unread, lambda name, bad: F.when(bad, name))
-    wrong_required = [
-        F.when(F.array_contains(_KEYS, n) & value.isNull(), F.lit(n))
-        for n, value in ((n, _text(n) if n in _TEXTS else _number(n)) for n in REQUIRED_FIELDS)
-    ]
-    date = _text("date")
-    bad_date = F.when(date.isNotNull() & F.try_to_timestamp(date).isNull(), F.lit("date"))
 
-    def told(kind: str, names: Column) -> Column:
-        return F.transform(names, lambda n: F.concat(F.lit(f"{kind}:"), n))
 
-    reasons = F.concat(
-        told("missing", F.array_except(_names(REQUIRED_FIELDS), _KEYS)),
-        told("unknown", F.array_except(_KEYS, _names(REQUEST_FIELDS))),
-        told("type", F.array_distinct(F.array_compact(F.concat(wrong_numbers, F.array(*wrong_required))))),
-        told("date", F.array_compact(F.array(bad_date))),
+def parse_batches(df: DataFrame, json_column: str, cfg: ScoreSettings) -> DataFrame:
+    """Adds ``requests`` (array of typed structs, null when the batch is refused),
+    ``n_records`` and ``reject_reasons`` of nested batches ``{"records": [...]}``.
+
+    A batch is taken or refused as a whole. Reasons: ``invalid`` for text that is
+    not a JSON object, ``missing:records``, ``unknown:f``, ``type:records`` for a
+    value that is no array, ``too_few`` and ``too_many`` records, and for each bad
+    record its reasons after its place, as in ``records[3].missing:city``. The
+    records of a batch of the wrong size are not looked at.
+
+    Records are checked inside their array by higher-order functions: refused
+    batches are never exploded and nothing is shuffled.
+    """
+    records, kinds, parts = "__records", "__kinds", "__parts"
+    keys = F.col(_KEYS)
+    # the text of each record, and beside it what it is: a quoted record is no record
+    read = (
+        df.withColumn(_KEYS, F.json_object_keys(json_column))
+        .withColumn(records, F.from_json(json_column, "records array<string>")["records"])
+        .withColumn(kinds, F.from_json(json_column, "records array<variant>")["records"])
+        .withColumn("n_records", F.when(F.col(records).isNotNull(), F.size(records).cast("bigint")))
     )
-    reasons = F.when(F.col(_KEYS).isNull(), _names(["invalid"])).otherwise(F.sort_array(reasons))
-    values = [(_text(n) if n in _TEXTS else _number(n)).alias(n) for n in REQUEST_FIELDS]
+    fits = F.col("n_records").between(cfg.min_batch, cfg.max_batch)
+    objects = F.zip_with(records, kinds, lambda text, kind: F.when(F.startswith(F.schema_of_variant(kind), F.lit("OBJECT")), text))
+
+    def read_record(text: Column) -> Column:
+        return F.struct(F.from_json(text, _SENT_TYPES).alias("sent"), F.json_object_keys(text).alias("keys"))
+
+    def with_values(record: Column) -> Column:
+        values = F.transform(_number_texts(record["sent"]), number_in_text)
+        return record.withField("values", values)
+
+    def checked(record: Column) -> Column:
+        return _reasons(record["sent"], record["keys"], record["values"])
+
+    def placed(reasons: Column, place: Column) -> Column:
+        return F.transform(reasons, lambda r: F.concat(F.lit("records["), place.cast("string"), F.lit("]."), r))
+
+    read = read.withColumn(parts, F.when(fits, F.transform(F.transform(objects, read_record), with_values)))
+    size = F.when(F.col("n_records") < cfg.min_batch, "too_few").when(F.col("n_records") > cfg.max_batch, "too_many")
+    whole = F.concat(
+        F.transform(F.array_except(_names(["records"]), keys), lambda n: F.concat(F.lit("missing:"), n)),
+        F.transform(F.sort_array(F.array_except(keys, _names(["records"]))), lambda n: F.concat(F.lit("unknown:"), n)),
+        F.array_compact(F.array(F.when(F.array_contains(keys, "records") & F.col(records).isNull(), "type:records"), size)),
+        F.coalesce(F.flatten(F.transform(F.transform(parts, checked), placed)), F.array().cast("array<string>")),
+    )
+    reasons = F.when(keys.isNull(), _names(["invalid"])).otherwise(whole)
+    typed = F.transform(parts, lambda record: _typed(record["sent"], record["values"]))
     return (
-        parsed.withColumn("reject_reasons", reasons)
-        .withColumn("request", F.when(F.size("reject_reasons") == 0, F.struct(*values)))
-        .drop(_SENT, _KEYS, _VALUES)
+        read.withColumn("reject_reasons", reasons)
+        .withColumn("requests", F.when(F.size("reject_reasons") == 0, typed))
+        .drop(_KEYS, records, kinds, parts)
     )
 
 
+def batch_records(parsed: DataFrame, batch_column: str) -> DataFrame:
+    """One typed request per record of the accepted batches, with its position."""
+    rows = parsed.where(F.col("requests").isNotNull())
+    rows = rows.select(batch_column, F.posexplode("requests").alias("position", "request"))
+    return rows.select(batch_column, "position", "request.*")
+
+
 def missing_fields(df: DataFrame) -> Column:
     """Names of optional fields without a value, in contract order. The target
     and derived columns are never reported. A column the table does not have

@@ -24,7 +24,7 @@ from ..schema import REQUEST_FIELDS
 from ..sources import registry, tables
 from ..sources.standin import SETTINGS, listings, listings_from_orders, metros, table
 from ..sources.workspace import materialize, scratch_path
-from ..streaming.score import score_stream
+from ..streaming.score import CurrentArtifacts, read_request_stream, read_sink, score_request_stream, score_stream
 from .jobs import model_info
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -565,6 +565,55 @@ def stream_score(spark, sf):
     return _shown(spark.read.parquet(f"{sink}/rows"))
 
 
+def _nested(spark, sf):
+    """Batches as their senders write them, from runs of 1600 orders: 1100 at once,
+    200 with nothing wrong, 200 as ``_json_requests`` has them (some without a city or
+    with a text for the price), 100 with a key beside the records; and the events,
+    which are no batches. A batch holds one such run at most."""
+    order = F.expr("row_id div 2")
+    at = F.pmod(order, F.lit(1600))
+    kind = F.when(at < 1100, "large").when(at < 1300, "clean").when(at < 1500, "mixed").otherwise("noted")
+    sent = _json_requests(spark, sf)
+    numbered = sent.where("request_id LIKE 'listing-%'").withColumn("row_id", F.expr("substring(request_id, 9)").cast("bigint"))
+    numbered = numbered.withColumns({"kind": kind, "run": F.expr("row_id div 3200")})
+    whole = F.regexp_replace(F.regexp_replace("body", '"not specified"', "null"), '"(, "zipcode")', '", "city": "ANY"$1')
+    whole = F.when(F.contains("body", F.lit('"city":')), F.regexp_replace("body", '"not specified"', "null")).otherwise(whole)
+    record = F.when(F.col("kind").isin("clean", "noted"), whole).otherwise(F.col("body"))
+    packed = numbered.withColumn("record", record).groupBy("run", "kind").agg(F.sort_array(F.collect_list(F.struct("row_id", "record"))).alias("held"))
+    records = F.array_join(F.transform("held", lambda r: r["record"]), ", ")
+    noted = F.when(F.col("kind") == "noted", F.lit('"note": 1, ')).otherwise(F.lit(""))
+    body = F.concat(F.lit("{"), noted, F.lit('"records": ['), records, F.lit("]}"))
+    batches = packed.select(F.concat_ws("-", "kind", F.col("run").cast("string")).alias("batch_id"), body.alias("body"))
+    return batches.unionByName(sent.where("request_id LIKE 'event-%'").select(F.col("request_id").alias("batch_id"), "body"))
+
+
+@query
+def nested_batches(spark, sf):
+    """Nested batches, each scored or refused as a whole."""
+    parsed = materialize(requests.parse_batches(_nested(spark, sf), "body", SETTINGS.score), "nested")
+    sent = requests.batch_records(parsed, "batch_id")
+    scored = score_records(sent, _artifacts(spark, sf), metros(spark, sf), SETTINGS, ["batch_id", "position"])
+    predicted = scored.groupBy("batch_id").agg(F.count("predicted_price").alias("rows_predicted"), F.round(F.sum("predicted_price"), -2).alias("predicted_sum"))
+    return parsed.join(predicted, "batch_id", "left").select(
+        "batch_id", "n_records", F.array_join("reject_reasons", ",").alias("reject_reasons"), "rows_predicted", "predicted_sum"
+    )
+
+
+@query
+def stream_requests(spark, sf):
+    """Raw JSON requests put into a folder, as a stream of several batches with two sinks."""
+    folder = scratch_path(spark, "stream-requests")
+    _json_requests(spark, sf).repartition(6).write.json(f"{folder}/in")
+    current = CurrentArtifacts(lambda: "fixed", lambda _: _artifacts(spark, sf))
+    running = score_request_stream(
+        read_request_stream(spark, f"{folder}/in", files_each=3), current, metros(spark, sf), SETTINGS, f"{folder}/out", f"{folder}/checkpoint"
+    )
+    running.awaitTermination()
+    scored = read_sink(spark, f"{folder}/out", "scored")
+    refused = read_sink(spark, f"{folder}/out", "refused").select("request_id", F.array_join("reject_reasons", ",").alias("reasons"))
+    return scored.select("request_id", F.round("predicted_price").alias("predicted_price"), F.col("reject_reason").alias("reasons")).unionByName(refused, allowMissingColumns=True)
+
+
 # --- sources, sinks, registry ----------------------------------------------
 
 

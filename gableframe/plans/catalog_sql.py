@@ -200,6 +200,15 @@ file_scored AS (
     CROSS JOIN prior
     WHERE median_list_price IS NULL OR median_list_price <= 100000) CROSS JOIN ols
 ),
+request_rows AS (
+    SELECT l.* EXCLUDE (year), CAST(year(date) AS INTEGER) AS year, quarter(date) AS quarter, month(date) AS month, lat, lng,
+           coalesce(zipcode_freq, 0) AS zipcode_freq, coalesce(city_full_encoded, prior) AS city_full_encoded
+    FROM ({NAMED_LISTING}) AS l
+    LEFT JOIN lookup ON l.city_full IS NOT DISTINCT FROM metro_full
+    LEFT JOIN freq ON l.zipcode IS NOT DISTINCT FROM freq.zipcode
+    LEFT JOIN city_codes ON l.city_full IS NOT DISTINCT FROM city_codes.city_full
+    CROSS JOIN prior
+),
 request_scored AS (
   SELECT row_id AS request_id, price,
          CASE WHEN median_list_price IS NULL OR median_list_price <= 100000
@@ -218,14 +227,7 @@ request_scored AS (
            'unemployed_population', 'total_school_age_population', 'total_school_enrollment', 'median_commute_time'
          ], lambda x: x IS NOT NULL) AS missing,
          CASE WHEN median_list_price > 100000 THEN 'price_above_limit' END AS reject_reason
-  FROM (
-    SELECT l.* EXCLUDE (year), CAST(year(date) AS INTEGER) AS year, quarter(date) AS quarter, month(date) AS month, lat, lng,
-           coalesce(zipcode_freq, 0) AS zipcode_freq, coalesce(city_full_encoded, prior) AS city_full_encoded
-    FROM ({NAMED_LISTING}) AS l
-    LEFT JOIN lookup ON l.city_full IS NOT DISTINCT FROM metro_full
-    LEFT JOIN freq ON l.zipcode IS NOT DISTINCT FROM freq.zipcode
-    LEFT JOIN city_codes ON l.city_full IS NOT DISTINCT FROM city_codes.city_full
-    CROSS JOIN prior) CROSS JOIN ols
+  FROM request_rows CROSS JOIN ols
 ),
 requests_shown AS (
   SELECT request_id, price, round(predicted_price) AS predicted_price,
@@ -258,6 +260,33 @@ body_reasons AS (
     || CASE WHEN price_type = 'VARCHAR' AND TRY_CAST(json_extract_string(body, '$.median_list_price') AS DOUBLE) IS NULL
             THEN ['type:median_list_price'] ELSE [] END) AS reasons
   FROM body_fields
+),
+body_values AS (
+  SELECT row_id, 'listing-' || CAST(row_id AS VARCHAR) AS request_id, median_list_price > 100000 AS above,
+         CASE WHEN median_list_price IS NULL OR median_list_price <= 100000 THEN {BODY_VALUE} END AS predicted_price
+  FROM request_rows CROSS JOIN ols
+),
+nested AS (
+  SELECT row_id, row_id // 3200 AS run, 'listing-' || CAST(row_id AS VARCHAR) AS request_id,
+         CASE WHEN row_id // 2 % 1600 < 1100 THEN 'large' WHEN row_id // 2 % 1600 < 1300 THEN 'clean'
+              WHEN row_id // 2 % 1600 < 1500 THEN 'mixed' ELSE 'noted' END AS kind
+  FROM listing
+),
+nested_records AS (
+  SELECT n.kind || '-' || CAST(run AS VARCHAR) AS batch_id, n.kind, reasons, predicted_price,
+         row_number() OVER (PARTITION BY run, n.kind ORDER BY n.row_id) - 1 AS place
+  FROM nested n JOIN body_reasons b USING (request_id) JOIN body_values v USING (request_id)
+),
+nested_sizes AS (
+  SELECT batch_id, any_value(kind) AS kind, count(*) AS n_records, count(predicted_price) AS rows_predicted,
+         round(sum(predicted_price), -2) AS predicted_sum,
+         string_agg(array_to_string(list_transform(reasons, lambda r: 'records[' || CAST(place AS VARCHAR) || '].' || r), ','), ',' ORDER BY place)
+           FILTER (WHERE kind = 'mixed' AND len(reasons) > 0) AS bad
+  FROM nested_records GROUP BY batch_id
+),
+nested_told AS (
+  SELECT *, concat_ws(',', CASE WHEN kind = 'noted' THEN 'unknown:note' END, CASE WHEN n_records > 1000 THEN 'too_many' ELSE bad END) AS reject_reasons
+  FROM nested_sizes
 )
 """
 
@@ -378,6 +407,16 @@ _BODIES: dict[str, str] = {
         FROM batches JOIN requests_shown ON row_id = request_id
         WHERE batch_id IN (SELECT batch_id FROM batch_counts WHERE accepted) GROUP BY batch_id""",
     "stream_score": "SELECT * FROM requests_shown",
+    "nested_batches": """
+        SELECT batch_id, n_records, reject_reasons, CASE WHEN reject_reasons = '' THEN rows_predicted END AS rows_predicted,
+               CASE WHEN reject_reasons = '' THEN predicted_sum END AS predicted_sum FROM nested_told
+        UNION ALL
+        SELECT 'event-' || CAST(event_id AS VARCHAR), NULL, array_to_string(['missing:records'] || list_transform(list_sort(json_keys(props)), lambda k: 'unknown:' || k), ','), NULL, NULL
+        FROM events""",
+    "stream_requests": """
+        SELECT r.request_id, CASE WHEN len(reasons) = 0 THEN round(predicted_price) END AS predicted_price,
+               CASE WHEN len(reasons) > 0 THEN array_to_string(reasons, ',') WHEN above THEN 'price_above_limit' END AS reasons
+        FROM body_reasons r LEFT JOIN body_values v USING (request_id)""",
     "csv_round_trip": """
         SELECT row_id AS request_id, strftime(date, '%Y-%m-%d') AS date, city_full, city, zipcode,
                median_sale_price, median_list_price, homes_sold, inventory, price FROM listing""",
@@ -418,6 +457,7 @@ _PARTS = {
     "OLS": linear_fit("ols", "wide_train", 0),
     "WIDE_VALUE": linear_value(wide_list()),
     # an optional field without a value is 0; a place that is not found stays missing
+    "BODY_VALUE": linear_value(wide_list(median_list_price="coalesce(median_list_price, 0)", homes_sold="0", inventory="0")),
     "REQUEST_VALUE": linear_value(wide_list(**{c: f"coalesce({c}, 0)" for c in ("median_list_price", "homes_sold", "inventory")})),
 }
 _COMPLETE = _STEPS
