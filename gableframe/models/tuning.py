@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import Settings, TuneSettings
 from ..functions.numbers import seeded_key, uniform_from
+from ..sources.workspace import path_exists
 from .candidates import Prepared, boosted, candidate_metrics, whole_model
 
 # Parameter name, lowest, highest, scale. Rounds and depth come
@@ -81,18 +84,49 @@ class TuningResult:
     metrics: DataFrame
 
 
-def tune(prepared: Prepared, cfg: Settings, spark: SparkSession) -> TuningResult:
+class Ledger:
+    """Finished trials in a shared folder, each under a digest of its parameters, the
+    learner's settings and the training data, so that a search that was killed goes on
+    where it stood. Another table, seed or setting has other digests and starts anew."""
+
+    def __init__(self, spark: SparkSession, folder: str, prepared: Prepared, cfg: Settings):
+        self.spark, self.folder = spark, folder.rstrip("/")
+        self.about = {"train": asdict(cfg.train), "columns": prepared.columns, "label": asdict(prepared.stats)}
+
+    def path(self, params: dict) -> str:
+        told = json.dumps({**self.about, "params": params}, sort_keys=True)
+        return f"{self.folder}/{hashlib.sha256(told.encode()).hexdigest()[:32]}"
+
+    def known(self, params: dict) -> dict | None:
+        path = self.path(params)
+        if not path_exists(self.spark, f"{path}/_SUCCESS"):  # written whole or not at all
+            return None
+        return json.loads(self.spark.read.text(path).first()[0])
+
+    def enter(self, params: dict, record: dict) -> None:
+        row = self.spark.createDataFrame([(json.dumps(record),)], "value string")
+        row.coalesce(1).write.mode("overwrite").text(self.path(params))
+
+
+def tune(prepared: Prepared, cfg: Settings, spark: SparkSession, ledger: str | None = None) -> TuningResult:
     """Fit every trial on train, score it on eval, refit the best.
 
     A few trials run at once on the one prepared frame; each is a distributed
-    fit, and only its parameters and nine metric values reach the driver.
+    fit, and only its parameters and nine metric values reach the driver. With a
+    ``ledger`` folder, finished trials are kept there and not fitted again.
     """
     space = [r.asDict() for r in search_space(spark, cfg.tune).orderBy("trial_number").collect()]
+    book = Ledger(spark, ledger, prepared, cfg) if ledger else None
 
     def run(params: dict) -> dict:
+        if book and (record := book.known(params)):
+            return record
         model = _fit(prepared, cfg, params)
         values = candidate_metrics(prepared, {"tuned": [model]}).where("split = 'eval'").collect()
-        return {**params, **{r["metric"]: r["value"] for r in values}}
+        record = {**params, **{r["metric"]: r["value"] for r in values}}
+        if book:
+            book.enter(params, record)
+        return record
 
     with ThreadPoolExecutor(cfg.tune.parallel_trials) as pool:
         records = list(pool.map(run, space))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -138,6 +138,7 @@ def clean(
     bound: BroadcastBound,
     group: Sequence[str] = (),
     order: Sequence[str] | None = None,
+    watch: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Locations, duplicates and outliers in one plan with one wide shuffle.
 
@@ -145,12 +146,18 @@ def clean(
     the order locations, duplicates, outliers: duplicates agree in price and
     city, so a price test keeps or drops them together and the lookup adds
     nothing to compare. Fewer and narrower rows reach the shuffle.
+
+    ``watch`` is given the rows between the two steps, for instance to count them as
+    they pass; the price test then comes second.
     """
     rows = normalize_cities(df, cfg)
-    if cfg.outlier_column not in cfg.duplicate_ignore:
+    late = watch is not None or cfg.outlier_column in cfg.duplicate_ignore
+    if not late:
         rows = drop_price_outliers(rows, cfg)
     rows = drop_duplicates_keep_first(rows, cfg, group, order)
-    if cfg.outlier_column in cfg.duplicate_ignore:
+    if watch is not None:
+        rows = watch(rows)
+    if late:
         rows = drop_price_outliers(rows, cfg)
     return join_locations(rows, lookup, cfg, bound)
 

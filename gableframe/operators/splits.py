@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import SplitSettings
 from ..functions.dates import as_timestamp
@@ -35,6 +36,28 @@ def split_by_date(df: DataFrame, cfg: SplitSettings) -> DataFrame:
     )
 
 
+def rows_of_split(df: DataFrame, cfg: SplitSettings, name: str) -> DataFrame:
+    """The rows of one split, by a plain range of the date column as it is stored, so
+    that files and row groups of the other periods are not read. Dates that are text
+    are read by value and give the same rows without that saving."""
+    bounds = {"train": (None, cfg.eval_start), "eval": (cfg.eval_start, cfg.holdout_start), "holdout": (cfg.holdout_start, None)}
+    if name not in bounds:
+        raise ValueError(f"Unknown split: {name}")
+    require_columns(df, [cfg.date_column])
+    kind = df.schema[cfg.date_column].dataType
+    if not isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return split_by_date(df, cfg).where(F.col(cfg.split_column) == name)
+    rows, date = df, F.col(cfg.date_column)
+    first, after = (b and datetime.fromisoformat(b) for b in bounds[name])
+    # a date is compared as a date: the first moment of a day decides, as it does there
+    bound = lambda day: F.lit(day.date() if isinstance(kind, T.DateType) else day.isoformat(sep=" ")).cast(kind)
+    if first is not None:
+        rows = rows.where(date >= bound(first))
+    rows = rows.where(date < bound(after)) if after is not None else rows.where(date.isNotNull())
+    tagged = rows.withColumn(cfg.split_column, F.lit(name))
+    return tagged.withColumn(cfg.date_column, as_timestamp(tagged, cfg.date_column))
+
+
 def split_profile(df: DataFrame, cfg: SplitSettings) -> DataFrame:
     """Rows, columns, first and last date of every split."""
     data_columns = len([c for c in df.columns if c != cfg.split_column])

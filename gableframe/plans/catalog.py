@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import SPLITS
@@ -19,7 +19,7 @@ from ..models.tuning import tune
 from ..operators import clean as cleaning
 from ..operators import encode, metrics, requests, sampling, scale
 from ..operators.features import add_date_features, align_features, drop_unused, engineer_features
-from ..operators.splits import split_by_date, split_profile
+from ..operators.splits import rows_of_split, split_by_date, split_profile
 from ..schema import REQUEST_FIELDS
 from ..sources import registry, tables
 from ..sources.standin import SETTINGS, listings, listings_from_orders, metros, table
@@ -73,6 +73,13 @@ def temporal_split(spark, sf):
     return _tagged(spark, sf)
 
 
+@query
+def eval_rows(spark, sf):
+    """The orders of the eval period, by a range that reaches the files."""
+    orders = table(spark, sf, "orders").withColumnRenamed("o_orderdate", "date")
+    return rows_of_split(orders, SETTINGS.split, "eval")
+
+
 @query
 def profile_of_splits(spark, sf):
     return split_profile(_tagged(spark, sf), SETTINGS.split)
@@ -695,6 +702,43 @@ def registry_lineage(spark, sf):
     return registry.parents(_monthly_artifacts(spark, sf).withColumn("inputs", inputs))
 
 
+@query
+def registry_ancestors(spark, sf):
+    """Every version has the one before it as its input, and every third one the first
+    version of train as well."""
+    before = F.concat_ws(":v", "name", (F.col("version") - 1).cast("string"))
+    inputs = F.when(F.col("version") > 1, F.array(before)).otherwise(F.array().cast("array<string>"))
+    both = F.when(F.col("version") % 3 == 0, F.concat(inputs, F.array(F.lit("listings_train:v1")))).otherwise(inputs)
+    return registry.ancestors(_monthly_artifacts(spark, sf).withColumn("inputs", both))
+
+
+@query
+def registry_append(spark, sf):
+    """Each period registered with its number of rows, then the later two again."""
+    store = registry.Registry(spark, scratch_path(spark, "registry"))
+    sizes = {r["split"]: r["n"] for r in _tagged(spark, sf).groupBy("split").agg(F.count("*").alias("n")).collect()}
+    for name in (*SPLITS, "eval", "holdout"):
+        store.register(f"listings_{name}", "dataset", store.folder, "split", metadata={"n_rows": sizes.get(name, 0)}, required=[sf])
+    return store.artifacts().select("name", "version", F.col("metadata")["n_rows"].cast("bigint").alias("n_rows"), F.array_join("aliases", ",").alias("aliases"))
+
+
+@query
+def run_log(spark, sf):
+    """Two steps with the rows they passed, and one that fails."""
+    store = registry.Registry(spark, scratch_path(spark, "registry"))
+    for step, rows in (("split", _tagged(spark, sf)), ("clean", _cleaned(spark, sf))):
+        with store.step(step) as note:
+            passed = Observation()
+            rows.observe(passed, F.count("*").alias("n")).write.format("noop").mode("overwrite").save()
+            note["rows"] = passed.get["n"]
+    try:
+        with store.step("scoring"):
+            raise FileNotFoundError("Input not found: none.csv")
+    except FileNotFoundError:
+        pass
+    return store.runs().select("step", "status", "n_rows", "error")
+
+
 @query
 def metric_log(spark, sf):
     found = _city_metrics(spark, sf)

@@ -46,7 +46,7 @@ def wide_list(**given: str) -> str:
 
 # Named steps that the queries below build on.
 _STEPS = """
-WITH order_lines AS (
+WITH RECURSIVE order_lines AS (
   SELECT l_orderkey,
          CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))) AS DOUBLE) AS price,
          max(l_extendedprice) AS median_list_price,
@@ -297,6 +297,9 @@ _PRICE_TEXT = """(
 
 _BODIES: dict[str, str] = {
     "temporal_split": "SELECT * FROM tagged",
+    "eval_rows": """
+        SELECT * RENAME (o_orderdate AS date), 'eval' AS split FROM orders
+        WHERE o_orderdate >= TIMESTAMP '1999-01-01' AND o_orderdate < TIMESTAMP '2001-01-01'""",
     "profile_of_splits": """
         SELECT split, count(*) AS n_rows, CAST(11 AS BIGINT) AS n_columns,
                min(date) AS first_date, max(date) AS last_date FROM tagged GROUP BY split""",
@@ -435,6 +438,20 @@ _BODIES: dict[str, str] = {
     "registry_lineage": """
         SELECT a.name, a.version, b.name || ':v' || CAST(b.version AS VARCHAR) AS input, 'dataset' AS input_type, b.path AS input_path
         FROM versions a JOIN versions b ON a.name = b.name AND a.version = b.version + 1""",
+    "registry_ancestors": """, direct AS (
+          SELECT name || ':v' || CAST(version AS VARCHAR) AS node, name || ':v' || CAST(version - 1 AS VARCHAR) AS ancestor FROM versions WHERE version > 1
+          UNION SELECT name || ':v' || CAST(version AS VARCHAR), 'listings_train:v1' FROM versions WHERE version % 3 = 0),
+        up(node, ancestor, steps) AS (
+          SELECT node, ancestor, 1 FROM direct
+          UNION SELECT up.node, direct.ancestor, steps + 1 FROM up JOIN direct ON direct.node = up.ancestor)
+        SELECT node, ancestor, CAST(min(steps) AS INTEGER) AS steps FROM up GROUP BY node, ancestor""",
+    "registry_append": """
+        SELECT 'listings_' || split AS name, CAST(v AS INTEGER) AS version, count(*) AS n_rows, 'latest' AS aliases
+        FROM tagged CROSS JOIN (VALUES (1), (2)) AS t(v) WHERE v = 1 OR split <> 'train' GROUP BY ALL""",
+    "run_log": """
+        SELECT 'split' AS step, 'finished' AS status, (SELECT count(*) FROM tagged) AS n_rows, NULL AS error
+        UNION ALL SELECT 'clean', 'finished', (SELECT count(*) FROM cleaned), NULL
+        UNION ALL SELECT 'scoring', 'failed', NULL, 'FileNotFoundError: Input not found: none.csv'""",
     "metric_log": "SELECT model || '/' || split || '/' || metric AS key, round(value, 3) AS value FROM model_gap",
     "model_labels": """
         SELECT 'Lowest error of the compared regressors: ' || model || ' (' || metric || '=' || format('{:.4f}', round(value, 2))

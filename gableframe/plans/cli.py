@@ -28,7 +28,6 @@ def parser() -> argparse.ArgumentParser:
 
     data = sub.add_parser("data", parents=[shared], help="Split and clean.")
     data.add_argument("--raw", required=True)
-    data.add_argument("--audit", action="store_true", help="Also write what cleaning removed.")
     sub.add_parser("features", parents=[shared], help="Fit encoders, build features.")
     training = sub.add_parser("training", parents=[shared], help="Compare the candidates.")
     training.add_argument("--save-candidates", action="store_true")
@@ -37,6 +36,12 @@ def parser() -> argparse.ArgumentParser:
     scoring.add_argument("--input", help="Default: the raw holdout split.")
     scoring.add_argument("--output")
     scoring.add_argument("--model", help="Default: the tuned model, else the best one.")
+    stream = sub.add_parser("stream", parents=[shared], help="Score the JSON requests that arrive in a folder.")
+    stream.add_argument("--input", required=True)
+    stream.add_argument("--output")
+    stream.add_argument("--checkpoint")
+    stream.add_argument("--files-each", type=int, default=100, help="Files of one micro-batch.")
+    stream.add_argument("--once", action="store_true", help="Drain the folder and stop.")
     whole = sub.add_parser("all", parents=[shared], help="All stages in order.")
     whole.add_argument("--raw")
     for stage in ("data", "features", "training", "tuning"):
@@ -70,7 +75,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     )
     if args.job == "data":
         jobs.run_split(project, args.raw)
-        jobs.run_clean(project, args.metros, audit=args.audit)
+        jobs.run_clean(project, args.metros)
     elif args.job == "features":
         jobs.run_features(project)
     elif args.job == "training":
@@ -79,6 +84,9 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         jobs.run_tuning(project)
     elif args.job == "scoring":
         jobs.run_scoring(project, args.input, args.metros, args.model, args.output)
+    elif args.job == "stream":
+        trigger = {"availableNow": True} if args.once else {"processingTime": "10 seconds"}
+        jobs.run_stream(project, args.input, args.metros, args.output, args.checkpoint, args.files_each, trigger).awaitTermination()
     else:
         jobs.run_pipeline(
             project,

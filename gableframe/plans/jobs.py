@@ -10,20 +10,22 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from ..config import SPLITS, Settings
 from ..functions import labels
 from ..models.candidates import check_features, prepare, train_candidates
 from ..models.scoring import Artifacts, score_table, scoring_metrics
 from ..models.tuning import check_tunable, tune
-from ..operators.clean import clean, cleaning_audit
+from ..operators.clean import clean, unmatched_cities
 from ..operators.encode import Encoders, load_encoders, save_encoders
 from ..operators.features import engineer_features
 from ..operators.metrics import best_model
 from ..operators.splits import split_by_date, split_profile
-from ..sources.registry import Registry, version_text
+from ..sources.registry import Registry, preferred, version_text
 from ..sources.tables import (
     read_feature_names,
     read_lookup,
@@ -33,6 +35,7 @@ from ..sources.tables import (
     write_splits,
 )
 from ..sources.workspace import path_exists
+from ..streaming.score import CurrentArtifacts, read_request_stream, score_request_stream
 
 
 @dataclass(frozen=True)
@@ -42,7 +45,7 @@ class Layout:
     root: str
 
     def __getattr__(self, name: str) -> str:
-        if name in ("splits", "cleaned", "features", "encoders", "predictions", "registry", "models", "audit"):
+        if name in ("splits", "cleaned", "features", "encoders", "predictions", "registry", "models", "audit", "unmatched"):
             return f"{self.root.rstrip('/')}/{name}"
         raise AttributeError(name)
 
@@ -142,22 +145,53 @@ def run_split(project: Project, raw_path: str) -> DataFrame:
     return profile
 
 
-def run_clean(
-    project: Project, metros_path: str | None, splits: Sequence[str] = SPLITS, audit: bool = False
-) -> DataFrame:
-    """Clean the named splits in one plan; the split bounds duplicate removal. The
-    audit of removed rows is a second pass and written on request."""
-    cfg, path = project.cfg, project.layout.cleaned
+class RowCount:
+    """Counts the rows of each split as they pass to the writer: no pass of its own."""
+
+    def __init__(self, split_column: str, splits: Sequence[str]):
+        self._split, self._names = split_column, tuple(splits)
+        self._seen = Observation()
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        return df.observe(self._seen, *[F.count_if(F.col(self._split) == s).alias(s) for s in self._names])
+
+    def by_split(self) -> dict[str, int]:
+        """After the frame was written."""
+        return {s: self._seen.get[s] for s in self._names}
+
+
+def run_clean(project: Project, metros_path: str | None, splits: Sequence[str] = SPLITS) -> DataFrame:
+    """Clean the named splits in one plan; the split bounds duplicate removal.
+
+    Every run leaves an audit of removed rows and a list of the cities without a
+    place. The rows before are counted from the file footers; those after either step
+    are counted behind the one shuffle, on their way to the writer. The list reads two
+    columns of what was written.
+    """
+    cfg, path, layout = project.cfg, project.layout.cleaned, project.layout
+    split = cfg.split.split_column
     with project.registry.step("clean") as note:
-        tagged = read_splits(project.spark, project.layout.splits, splits)
+        tagged = read_splits(project.spark, layout.splits, splits)
+        before = {r[0]: r[1] for r in tagged.groupBy(split).count().collect()}  # one row a split
         lookup = read_lookup(project.spark, metros_path, cfg.clean)
-        cleaned = clean(tagged, lookup, cfg.clean, cfg.broadcast, group=[cfg.split.split_column])
-        write_splits(cleaned, path, cfg.split.split_column, splits)
-        if audit:
-            removed = cleaning_audit(tagged, cfg.clean, cfg.split.split_column)
-            removed.write.mode("overwrite").parquet(project.layout.audit)
+        distinct, kept = RowCount(split, splits), RowCount(split, splits)
+        cleaned = clean(tagged, lookup, cfg.clean, cfg.broadcast, group=[split], watch=distinct)
+        write_splits(kept(cleaned), path, split, splits)
+        after, left = distinct.by_split(), kept.by_split()
+        steps = [
+            row
+            for s in splits
+            for row in (
+                (s, "duplicates", before.get(s, 0), after[s], before.get(s, 0) - after[s]),
+                (s, "price_outliers", after[s], left[s], after[s] - left[s]),
+            )
+        ]
+        schema = f"{split} string, step string, rows_before bigint, rows_after bigint, rows_removed bigint"
+        project.spark.createDataFrame(steps, schema).coalesce(1).write.mode("overwrite").parquet(layout.audit)
         written = read_splits(project.spark, path, splits)
-        note["rows"] = written.count()
+        if {cfg.clean.city_column, cfg.clean.latitude_column} <= set(written.columns):
+            unmatched_cities(written, cfg.clean).write.mode("overwrite").parquet(layout.unmatched)
+        note["rows"] = sum(left.values())
     if project.register:
         project.registry.register(
             cfg.registry.cleaned,
@@ -183,10 +217,11 @@ def run_features(project: Project) -> tuple[DataFrame, Encoders]:
     with project.registry.step("features") as note:
         cleaned = read_splits(project.spark, project.stage_path(cfg.registry.cleaned, layout.cleaned))
         features, encoders = engineer_features(cleaned, cfg)
-        write_splits(features, layout.features, cfg.split.split_column, SPLITS)
+        passed = RowCount(cfg.split.split_column, SPLITS)
+        write_splits(passed(features), layout.features, cfg.split.split_column, SPLITS)
         save_encoders(encoders, layout.encoders)
         written = read_splits(project.spark, layout.features)
-        note["rows"] = written.count()
+        note["rows"] = sum(passed.by_split().values())
     if project.register:
         source = f"{cfg.registry.cleaned}:latest"
         project.registry.register(
@@ -224,10 +259,9 @@ def run_training(
     names = tuple(candidates or cfg.train.candidates)
     with project.registry.step("training"):
         stage = project.stage_path(cfg.registry.features, layout.features)
-        prepared = prepare(read_splits(spark, stage, ("train", "eval")), cfg)
-        models, measured = train_candidates(prepared, cfg, names)
-        nested = nested_metrics(measured)
-        prepared.release()
+        with prepare(read_splits(spark, stage, ("train", "eval")), cfg) as prepared:
+            models, measured = train_candidates(prepared, cfg, names)
+            nested = nested_metrics(measured)
         metrics = long_metrics(spark, nested)
         best = best_model(metrics, names, cfg.train.primary_metric).first()
         if save_candidates:
@@ -289,10 +323,9 @@ def run_tuning(project: Project) -> tuple[dict, DataFrame]:
         sampled = cfg.with_(
             train={"sample_fraction": cfg.tune.sample_fraction, "seed": cfg.tune.seed}
         )
-        prepared = prepare(read_splits(spark, stage, ("train", "eval")), sampled)
-        result = tune(prepared, sampled, spark)
-        nested = nested_metrics(result.metrics)
-        prepared.release()
+        with prepare(read_splits(spark, stage, ("train", "eval")), sampled) as prepared:
+            result = tune(prepared, sampled, spark, f"{layout.models}/trial_ledger")
+            nested = nested_metrics(result.metrics)
         result.model.write().overwrite().save(layout.tuned)
         n_trials = result.trials.count()
         payload = {
@@ -394,8 +427,8 @@ def run_scoring(
     model_path: str | None = None,
     output: str | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
-    """Score a raw-compatible file, the raw holdout by default; write predictions
-    and, when there are actual values, their metrics."""
+    """Score a raw-compatible file, the raw holdout by default; write predictions, as
+    Parquet and as CSV, and, when there are actual values, their metrics."""
     spark, cfg, layout = project.spark, project.cfg, project.layout
     path = output or layout.predictions
     with project.registry.step("scoring") as note:
@@ -405,17 +438,54 @@ def run_scoring(
             table = read_table(spark, input_path)
         artifacts = load_artifacts(project, model_path)
         lookup = read_lookup(spark, metros_path, cfg.clean)
-        scored = score_table(table, artifacts, lookup, cfg)
-        scored.write.mode("overwrite").parquet(f"{path}/rows")
+        scored, passed = score_table(table, artifacts, lookup, cfg), Observation()
+        scored.observe(passed, F.count("*").alias("n")).write.mode("overwrite").parquet(f"{path}/rows")
         written = spark.read.parquet(f"{path}/rows")
+        write_csv(flat_rows(written), f"{path}/predictions.csv")
         metrics = scoring_metrics(written, cfg.score)
         if metrics is not None:
             metrics.write.mode("overwrite").json(f"{path}/metrics")
             metrics = spark.read.schema("mae double, rmse double, r2 double").json(f"{path}/metrics")
-        note["rows"] = written.count()
+        note["rows"] = passed.get["n"]
     return written, metrics
 
 
+def flat_rows(df: DataFrame) -> DataFrame:
+    """For files of text: a row id that is a place in a file becomes three columns."""
+    ids = [c for c in df.schema.fields if isinstance(c.dataType, T.StructType)]
+    return df.select(*[F.col(f"`{f.name}`") for f in df.schema.fields if f not in ids], *[F.col(f"`{f.name}`.`{g.name}`").alias(f"{f.name}_{g.name}") for f in ids for g in f.dataType.fields])
+
+
+def serving_reference(project: Project) -> str:
+    """What tells whether another model serves now: the newest record of the tuned
+    model, else of the best one; without a registry the path and hash of its files."""
+    names = (project.cfg.registry.tuned_model, project.cfg.registry.best_model)
+    if project.register:
+        found = preferred(project.registry.artifacts(), names).first()
+        if found is None:
+            raise FileNotFoundError(f"No model of {names} in the registry.")
+        return f"{found['name']}:v{found['version']}"
+    return version_text(project.spark, choose_model_path(project.spark, project.layout), project.source)
+
+
+def run_stream(
+    project: Project,
+    folder: str,
+    metros_path: str | None = None,
+    output: str | None = None,
+    checkpoint: str | None = None,
+    files_each: int = 100,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Start checking and scoring the JSON requests that arrive in a folder. The newest
+    registered model serves each micro-batch; a new one is taken up between two."""
+    spark, path = project.spark, output or f"{project.layout.predictions}/stream"
+    current = CurrentArtifacts(lambda: serving_reference(project), lambda _: load_artifacts(project))
+    lookup = read_lookup(spark, metros_path, project.cfg.clean)
+    bodies = read_request_stream(spark, folder, files_each)
+    return score_request_stream(bodies, current, lookup, project.cfg, path, checkpoint or f"{path}/checkpoint", trigger=trigger)
+
+
 def run_pipeline(
     project: Project,
     raw_path: str | None = None,

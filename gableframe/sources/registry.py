@@ -3,22 +3,25 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
 from datetime import datetime, timezone
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.labels import metric_key
-from .workspace import path_exists
+from .workspace import claim, materialize, path_exists
 
 ARTIFACT = (
     "name string, type string, version int, job string, path string, description string, "
     "metadata map<string,string>, aliases array<string>, tags array<string>, "
     "inputs array<string>, created_at timestamp"
 )
+METRIC = "key string, model string, split string, metric string, value double, job string, logged_at timestamp"
 RUN = "step string, started_at timestamp, seconds double, status string, n_rows bigint, error string"
 
 
@@ -64,8 +67,31 @@ def parents(artifacts: DataFrame) -> DataFrame:
     )
 
 
+def ancestors(artifacts: DataFrame) -> DataFrame:
+    """Everything an artifact was made from, directly or not: ``(node, ancestor,
+    steps)`` with keys ``name:v2`` and the fewest steps between them.
+
+    Each round joins the paths found so far with themselves, so the rounds grow with
+    the logarithm of the longest chain. Records in a circle are ancestors of each
+    other, and of themselves, and end the search like any others. Inputs that are not
+    registered are ancestors without inputs of their own.
+    """
+    key = F.concat_ws(":v", "name", F.col("version").cast("string"))
+    edges = artifacts.select(key.alias("node"), F.explode("inputs").alias("ancestor")).distinct()
+    found, seen = materialize(edges.withColumn("steps", F.lit(1)), "ancestors-1"), None
+    turn = 1
+    while (now := tuple(found.agg(F.count("*"), F.sum("steps")).first())) != seen:
+        seen, turn = now, turn + 1
+        onward = found.select(F.col("node").alias("ancestor"), F.col("ancestor").alias("further"), F.col("steps").alias("more"))
+        longer = found.join(onward, "ancestor").select("node", F.col("further").alias("ancestor"), (F.col("steps") + F.col("more")).alias("steps"))
+        both = found.union(longer).groupBy("node", "ancestor").agg(F.min("steps").alias("steps"))
+        found = materialize(both, f"ancestors-{turn}")
+    return found
+
+
 class Registry:
-    """Tables below one folder. Only the driver of a job appends to them."""
+    """Tables below one folder. The drivers of several jobs may append to them: a
+    version belongs to the writer that claims it first."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
@@ -75,7 +101,12 @@ class Registry:
         path = f"{self.folder}/{name}"
         if not path_exists(self.spark, path):
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(path)
+        return self.spark.read.schema(schema).option("recursiveFileLookup", True).parquet(path)
+
+    def _append(self, rows: DataFrame, name: str) -> None:
+        """Each entry in a folder of its own: writers that share one would remove each
+        other's unfinished files."""
+        rows.coalesce(1).write.parquet(f"{self.folder}/{name}/{uuid.uuid4().hex}")
 
     def artifacts(self) -> DataFrame:
         return self._read("artifacts", ARTIFACT)
@@ -95,12 +126,15 @@ class Registry:
         required: Sequence[str] = (),
     ) -> str:
         """Append one record and give back ``name:vN``. Refused when one of the
-        ``required`` outputs is not there."""
+        ``required`` outputs is not there. A version that another writer has claimed,
+        also one that ended before its record was written, is left to it."""
         absent = [p for p in (required or [path]) if not path_exists(self.spark, p)]
         if absent:
             raise FileNotFoundError(f"Missing outputs of {name}: {absent}")
         last = self.artifacts().where(F.col("name") == name).agg(F.max("version")).first()[0]
         version = (last or 0) + 1
+        while not claim(self.spark, f"{self.folder}/claims/{quote(name, safe='')}/v{version}"):
+            version += 1
         row = (
             name,
             kind,
@@ -114,8 +148,7 @@ class Registry:
             [self._pinned(reference) for reference in inputs],
             datetime.now(timezone.utc),
         )
-        record = self.spark.createDataFrame([row], ARTIFACT)
-        record.coalesce(1).write.mode("append").parquet(f"{self.folder}/artifacts")
+        self._append(self.spark.createDataFrame([row], ARTIFACT), "artifacts")
         return f"{name}:v{version}"
 
     def find(self, reference: str) -> dict:
@@ -145,10 +178,10 @@ class Registry:
             F.lit(job).alias("job"),
             F.current_timestamp().alias("logged_at"),
         )
-        rows.coalesce(1).write.mode("append").parquet(f"{self.folder}/metrics")
+        self._append(rows, "metrics")
 
     def metrics(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/metrics")
+        return self._read("metrics", METRIC)
 
     def runs(self) -> DataFrame:
         return self._read("runs", RUN)
@@ -167,9 +200,7 @@ class Registry:
             raise
         finally:
             row = (name, started, time.perf_counter() - clock, status, note["rows"], message)
-            self.spark.createDataFrame([row], RUN).coalesce(1).write.mode("append").parquet(
-                f"{self.folder}/runs"
-            )
+            self._append(self.spark.createDataFrame([row], RUN), "runs")
 
 
 def content_hash(spark: SparkSession, folder: str, digits: int = 8) -> str:

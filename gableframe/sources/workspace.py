@@ -41,6 +41,28 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def claim(spark: SparkSession, path: str) -> bool:
+    """Create an empty file that nobody has created yet; False when it is there
+    already. Of several writers exactly one gets True, on any file system that
+    creates exclusively (HDFS and its like; local disks through the Java call that
+    is atomic there, which Hadoop's own local file system is not)."""
+    from py4j.protocol import Py4JJavaError
+
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(place.getParent())
+    if system.getUri().getScheme() == "file":
+        return jvm.java.io.File(place.toUri().getPath()).createNewFile()
+    try:
+        system.create(place, False).close()
+    except Py4JJavaError as error:
+        if system.exists(place):
+            return False
+        raise error
+    return True
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether there is such a file or folder, on any file system Spark knows. The
     file system is asked; nothing below the path is listed."""

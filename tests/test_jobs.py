@@ -1,4 +1,6 @@
 import json
+import threading
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from conftest import SF
@@ -6,6 +8,7 @@ from pyspark.sql import functions as F
 
 from gableframe.config import Settings
 from gableframe.plans import cli, jobs
+from gableframe.operators.clean import clean, cleaning_audit, unmatched_cities
 from gableframe.sources import registry as reg
 from gableframe.sources.standin import SETTINGS, listings, metros
 from gableframe.sources.tables import (
@@ -18,6 +21,7 @@ from gableframe.sources.tables import (
     write_csv,
     write_splits,
 )
+from gableframe.sources.workspace import claim
 
 CFG = SETTINGS.with_(
     train={"forest_trees": 3, "forest_depth": 4, "boost_rounds": 20, "boost_rate": 0.3, "max_bins": 32,
@@ -51,11 +55,10 @@ def test_stages_run_in_order_and_leave_their_tables(spark, project):
     assert project.registry.runs().where("status != 'finished'").count() == 0
     logged = {r.step: r.n_rows for r in project.registry.runs().collect()}
     assert logged["split"] == raw.count() and logged["clean"] == logged["features"] == cleaned.count()
-    removed_rows = raw.count() - cleaned.count()
-    jobs.run_clean(project, None, audit=True)
     audit = spark.read.parquet(layout.audit)
-    assert audit.agg(F.sum("rows_removed")).first()[0] == removed_rows
-    jobs.run_clean(project, f"{layout.root}/metros.csv")
+    assert sorted(map(tuple, audit.collect())) == sorted(map(tuple, cleaning_audit(raw, CFG.clean).select(*audit.columns).collect()))
+    assert audit.agg(F.sum("rows_removed")).first()[0] == raw.count() - cleaned.count() > 0
+    assert [tuple(r) for r in spark.read.parquet(layout.unmatched).collect()] == [tuple(r) for r in unmatched_cities(cleaned, CFG.clean).collect()] != []
 
 
 def test_training_outputs(spark, project):
@@ -91,6 +94,40 @@ def test_scoring_job(spark, project):
     write_csv(holdout.drop("split", "row_id", "price"), upload)
     scored, metrics = jobs.run_scoring(project, upload, f"{project.layout.root}/metros.csv", output=f"{project.layout.root}/other")
     assert metrics is None and scored.count() == rows.count()
+    listed = spark.read.option("header", True).csv(f"{project.layout.predictions}/predictions.csv")
+    assert listed.count() == rows.count() and {"predicted_price", "actual_price", "row_id_path", "row_id_block", "row_id_row"} <= set(listed.columns)
+
+
+def test_one_scan_cleans_and_counts(spark, project):
+    """The plan that is written reads the split table once; counts come with it."""
+    tagged = read_splits(spark, project.layout.splits)
+    distinct, kept = jobs.RowCount("split", ("train", "eval", "holdout")), jobs.RowCount("split", ("train", "eval", "holdout"))
+    out = kept(clean(tagged, None, CFG.clean, CFG.broadcast, group=["split"], watch=distinct))
+    text = out._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert text.count("FileScan") == 1
+    out.write.format("noop").mode("overwrite").save()
+    assert sum(kept.by_split().values()) == out.count() < sum(distinct.by_split().values())
+
+
+def test_request_stream_job(spark, project, tmp_path):
+    """Requests in a folder are scored by the model that is registered when they come."""
+    good = {"date": "2022-01-01", "city_full": "NATION_1-EUROPE", "city": "X", "zipcode": 3}
+    def send(name, bodies):
+        (tmp_path / "in").mkdir(exist_ok=True)
+        lines = [json.dumps({"request_id": f"{name}{i}", "body": b if isinstance(b, str) else json.dumps(b)}) for i, b in enumerate(bodies)]
+        (tmp_path / "in" / f"{name}.json").write_text("\n".join(lines))
+    send("a", [good, {**good, "zipcode": "x"}, "no json"])
+    out = str(tmp_path / "out")
+    jobs.run_stream(project, str(tmp_path / "in"), output=out, trigger={"availableNow": True}).awaitTermination()
+    first = {r.request_id: r.model_version for r in spark.read.parquet(f"{out}/scored").collect()}
+    assert set(first) == {"a0"}
+    refused = {r.request_id: r.reject_reasons for r in spark.read.parquet(f"{out}/refused").collect()}
+    assert refused == {"a1": ["type:zipcode"], "a2": ["invalid"]}
+    jobs.run_training(project, ["dummy"])
+    send("b", [good])
+    jobs.run_stream(project, str(tmp_path / "in"), output=out, trigger={"availableNow": True}).awaitTermination()
+    both = {r.request_id: r.model_version for r in spark.read.parquet(f"{out}/scored").collect()}
+    assert set(both) == {"a0", "b0"} and both["a0"] == first["a0"] != both["b0"]
 
 
 def test_lineage(project):
@@ -120,10 +157,11 @@ def test_tuning_job_and_model_choice(spark, project):
 
 
 def test_candidates_are_saved_on_request(spark, project):
+    before = project.registry.find("chosen_regressor:latest")["version"]
     jobs.run_training(project, ["dummy"], save_candidates=True)
     assert jobs.path_exists(spark, project.layout.model("dummy"))
     assert project.registry.find("chosen_regressor:v1")["version"] == 1
-    assert project.registry.find("chosen_regressor:latest")["version"] == 2
+    assert project.registry.find("chosen_regressor:latest")["version"] == before + 1
     jobs.write_json(spark, {"metrics": {}}, f"{project.layout.models}/metrics")
     with pytest.raises(ValueError, match="no best model"):
         jobs.run_tuning(project)
@@ -224,6 +262,38 @@ def test_registry_versions(spark, tmp_path):
         store.find("a:none")
 
 
+def test_two_writers_get_two_versions(spark, tmp_path, monkeypatch):
+    """Both writers have read the same newest version before either of them writes."""
+    spark.range(1).write.parquet(str(tmp_path / "data"))
+    folder, wait, seen = str(tmp_path / "registry"), threading.Barrier(4), reg.Registry.artifacts
+
+    def slow(self):
+        found = seen(self)
+        rows = found.collect()
+        wait.wait(60)
+        return spark.createDataFrame(rows, found.schema)
+
+    monkeypatch.setattr(reg.Registry, "artifacts", slow)
+    with ThreadPoolExecutor(4) as pool:
+        names = list(pool.map(lambda _: reg.Registry(spark, folder).register("a/b", "dataset", str(tmp_path / "data"), "job"), range(4)))
+    monkeypatch.setattr(reg.Registry, "artifacts", seen)
+    assert sorted(names) == ["a/b:v1", "a/b:v2", "a/b:v3", "a/b:v4"]
+    store = reg.Registry(spark, folder)
+    assert sorted(r.version for r in store.artifacts().collect()) == [1, 2, 3, 4]
+    assert claim(spark, f"{folder}/claims/c/v1") and not claim(spark, f"{folder}/claims/c/v1")
+    assert store.register("c", "dataset", str(tmp_path / "data"), "job") == "c:v2"  # v1 is another's, though it left no record
+
+
+def test_ancestors_in_circles(spark):
+    rows = [("a", 1, ["raw:v1"]), ("b", 1, ["a:v1"]), ("c", 1, ["b:v1", "a:v1"]), ("d", 1, ["e:v1"]), ("e", 1, ["d:v1"]), ("f", 1, [])]
+    found = reg.ancestors(spark.createDataFrame(rows, "name string, version int, inputs array<string>"))
+    assert {tuple(r) for r in found.collect()} == {
+        ("a:v1", "raw:v1", 1), ("b:v1", "a:v1", 1), ("b:v1", "raw:v1", 2), ("c:v1", "b:v1", 1), ("c:v1", "a:v1", 1), ("c:v1", "raw:v1", 2),
+        ("d:v1", "e:v1", 1), ("d:v1", "d:v1", 2), ("e:v1", "d:v1", 1), ("e:v1", "e:v1", 2),
+    }
+    assert reg.ancestors(spark.createDataFrame([], "name string, version int, inputs array<string>")).count() == 0
+
+
 def test_command_line(spark, monkeypatch):
     seen = []
     for name in ("run_split", "run_clean", "run_features", "run_training", "run_tuning", "run_scoring"):

@@ -13,6 +13,7 @@ from gableframe.models.candidates import (
     used_columns,
     whole_model,
 )
+from gableframe.models import tuning
 from gableframe.models.tuning import best_trial, booster_parameters, check_tunable, search_space, tune
 
 CFG = Settings().with_(
@@ -170,6 +171,33 @@ def test_tuning_picks_the_lowest_error_and_repeats(spark, prepared):
     assert set(booster_parameters(result.best_params)) >= {"maxIter", "minInstancesPerNode"}
 
 
+def test_a_killed_search_goes_on(spark, prepared, tmp_path, monkeypatch):
+    """Three trials are finished when the driver is lost; they are not fitted again."""
+    cfg = CFG.with_(tune={"n_trials": 5, "rounds": (2, 3), "depth": (2, 3), "parallel_trials": 1})
+    want = tuning.tune(prepared, cfg, spark)
+    fit, fitted = tuning._fit, []
+
+    def lost(*args):
+        if len(fitted) == 3:
+            raise KeyboardInterrupt
+        fitted.append(args[2]["trial_number"])
+        return fit(*args)
+
+    ledger = str(tmp_path / "ledger")
+    monkeypatch.setattr(tuning, "_fit", lost)
+    with pytest.raises(KeyboardInterrupt):
+        tuning.tune(prepared, cfg, spark, ledger)
+    later = []
+    monkeypatch.setattr(tuning, "_fit", lambda *args: later.append(args[2].get("trial_number")) or fit(*args))
+    got = tuning.tune(prepared, cfg, spark, ledger)
+    assert fitted == [0, 1, 2] and later == [3, 4, None]  # the last fit is that of the best parameters
+    columns = sorted(want.trials.columns)
+    assert [tuple(r) for r in got.trials.select(columns).orderBy("trial_number").collect()] == [tuple(r) for r in want.trials.select(columns).orderBy("trial_number").collect()]
+    assert got.best_params == want.best_params
+    other = tuning.Ledger(spark, ledger, prepared, cfg.with_(train={"seed": 7}))
+    assert other.known(tuning.search_space(spark, cfg.tune).first().asDict()) is None
+
+
 def test_best_trial_and_guard(spark):
     trials = spark.createDataFrame([(0, 3.0), (2, 1.0), (1, 1.0), (3, None)], "trial_number int, rmse double")
     assert best_trial(trials).first().trial_number == 1

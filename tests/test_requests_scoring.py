@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
@@ -10,14 +11,16 @@ from gableframe.models.scoring import Artifacts, rows_predicted, score_records,
 from gableframe.operators.encode import Encoders, TargetEncoding
 from gableframe.operators.requests import (
     accepted_batches,
+    batch_records,
     batch_sizes,
     explode_batches,
     missing_fields,
+    parse_batches,
     parse_requests,
     to_raw_names,
 )
 from gableframe.schema import DEMOGRAPHIC_NAMES, OPTIONAL_FIELDS, REQUEST_FIELDS, check_request_columns
-from gableframe.streaming.score import score_stream
+from gableframe.streaming.score import CurrentArtifacts, read_request_stream, read_sink, score_request_stream, score_stream
 
 CFG = Settings()
 TRAIN_COLUMNS = ("year", "quarter", "month", "median_list_price", "lat", "lng", "zipcode_freq", "city_full_encoded")
@@ -124,6 +127,91 @@ def test_nested_batches(spark):
     assert {(r[0], r[1]) for r in rejected.collect()} == {("b", 0), ("c", 0), ("d", 1001)}
 
 
+def test_batches_are_taken_or_refused_whole(spark):
+    extra = {**GOOD, "unknown_column": 1}
+    short = {k: v for k, v in GOOD.items() if k != "city"}
+    bodies = {
+        "good": {"records": [GOOD, {**GOOD, "zipcode": "15213", "bank": None}]},
+        "empty": {"records": []},
+        "most": {"records": [GOOD] * 1000},
+        "large": {"records": [short] * 1001},
+        "one bad": {"records": [GOOD, {**short, "bank": "x"}, GOOD, extra]},
+        "quoted": {"records": [json.dumps(GOOD), 5, None]},
+        "no array": {"records": GOOD},
+        "null": {"records": None},
+        "other": {"items": [GOOD], "a": 1},
+        "noted": {"records": [GOOD], "note": 1},
+        "array": "[]",
+        "text": "records",
+        "none": None,
+    }
+    rows = [(k, b if b is None or isinstance(b, str) else json.dumps(b)) for k, b in bodies.items()]
+    out = parse_batches(spark.createDataFrame(rows, "batch_id string, body string"), "body", CFG.score)
+    found = {r.batch_id: (r.n_records, r.reject_reasons) for r in out.collect()}
+    assert found == {
+        "good": (2, []),
+        "empty": (0, ["too_few"]),
+        "most": (1000, []),
+        "large": (1001, ["too_many"]),
+        "one bad": (4, ["records[1].missing:city", "records[1].type:bank", "records[3].unknown:unknown_column"]),
+        "quoted": (3, ["records[0].invalid", "records[1].invalid", "records[2].invalid"]),
+        "no array": (None, ["type:records"]),
+        "null": (None, ["type:records"]),
+        "other": (None, ["missing:records", "unknown:a", "unknown:items"]),
+        "noted": (1, ["unknown:note"]),
+        "array": (None, ["invalid"]),
+        "text": (None, ["invalid"]),
+        "none": (None, ["invalid"]),
+    }
+    records = batch_records(out, "batch_id")
+    assert records.groupBy("batch_id").count().where("batch_id = 'most' AND count = 1000").count() == 1
+    assert [(r.position, r.zipcode, r.bank) for r in records.where("batch_id = 'good'").orderBy("position").collect()] == [(0, 30301, None), (1, 15213, None)]
+    alone = parse_requests(spark.createDataFrame([(0, json.dumps(GOOD))], "request_id int, body string"), "body").first().request
+    assert records.where("batch_id = 'good' AND position = 0").drop("batch_id", "position").first() == alone
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_raw_stream_equals_batch_after_a_restart(spark, artifacts, metros, tmp_path):
+    """One file a batch; the model cannot be loaded in the third batch, and the batch that
+    had been written before the stop is run again."""
+    bodies = [(str(i), json.dumps({**GOOD, "median_list_price": 1000.0 * i} if i % 3 else {"date": "x", "zipcode": i})) for i in range(40)]
+    rows = spark.createDataFrame(bodies, "request_id string, body string")
+    source, sink, mark = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    rows.repartition(5).write.json(source)
+    calls = []
+
+    def failing():
+        calls.append(1)
+        if len(calls) == 3:
+            raise OSError("no model")
+        return artifacts
+
+    def start(models):
+        score_request_stream(read_request_stream(spark, source, 1), models, metros, CFG, sink, mark).awaitTermination()
+
+    with pytest.raises(StreamingQueryException, match="no model"):
+        start(failing)
+    done = max(int(p.name) for p in (tmp_path / "checkpoint" / "commits").iterdir() if p.name.isdigit())
+    (tmp_path / "checkpoint" / "commits" / str(done)).unlink()  # as if the driver had been lost before the commit
+    (tmp_path / "checkpoint" / "commits" / f".{done}.crc").unlink(missing_ok=True)
+    start(lambda: artifacts)
+    checked = parse_requests(rows, "body")
+    want = score_records(checked.where("request IS NOT NULL").select("request_id", "request.*"), artifacts, metros, CFG)
+    got = read_sink(spark, sink, "scored").select(*want.columns)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    refused = read_sink(spark, sink, "refused").collect()
+    assert sorted((r.request_id, r.body, r.reject_reasons) for r in refused) == sorted(tuple(r) for r in checked.where("request IS NULL").select("request_id", "body", "reject_reasons").collect())
+    assert len(refused) == 14
+
+
+def test_artifacts_follow_their_reference(artifacts):
+    names, loaded = iter(["a:v1", "a:v1", "a:v2", "a:v2"]), []
+    current = CurrentArtifacts(lambda: next(names), lambda name: loaded.append(name) or artifacts)
+    for _ in range(4):
+        current()
+    assert loaded == ["a:v1", "a:v2"]
+
+
 REQUESTS = "request_id int, date string, city_full string, city string, zipcode bigint, median_list_price double"
 
 

@@ -3,7 +3,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from gableframe.config import BroadcastBound, Settings
+from gableframe.config import SPLITS, BroadcastBound, Settings
 from gableframe.operators.clean import (
     clean,
     cleaning_audit,
@@ -14,7 +14,7 @@ from gableframe.operators.clean import (
     unmatched_cities,
 )
 from gableframe.operators.lookup import fits_broadcast, hot_keys, lookup_join
-from gableframe.operators.splits import split_by_date, split_profile
+from gableframe.operators.splits import rows_of_split, split_by_date, split_profile
 
 CFG = Settings()
 SALTED = BroadcastBound(max_rows=0, salts=4)
@@ -221,3 +221,22 @@ def test_audit_counts(spark, rows):
         ("train", "duplicates", 5, 3, 2),
         ("train", "price_outliers", 3, 2, 1),
     ]
+
+
+def test_rows_of_a_split_reach_the_scan(spark, tmp_path):
+    days = spark.sql("SELECT id, timestamp '2019-12-30' + make_interval(0, 0, 0, 0, 12 * id) AS date FROM range(1600)")
+    cfg = Settings().split
+    for kind in ("timestamp", "timestamp_ntz", "date", "string"):
+        path = str(tmp_path / kind)
+        days.union(spark.sql("SELECT -1L, CAST(NULL AS timestamp)")).withColumn("date", F.col("date").cast(kind)).write.parquet(path)
+        table = spark.read.parquet(path)
+        tagged = split_by_date(table, cfg)
+        for name in SPLITS:
+            got = rows_of_split(table, cfg, name)
+            assert got.schema == tagged.schema
+            assert sorted(map(tuple, got.collect())) == sorted(tuple(r) for r in tagged.where(F.col("split") == name).collect())
+        if kind != "string":
+            plan = rows_of_split(table, cfg, "eval")._jdf.queryExecution().executedPlan().toString()
+            assert "GreaterThanOrEqual(date,2020-01-01" in plan and "LessThan(date,2022-01-01" in plan
+    with pytest.raises(ValueError, match="Unknown split"):
+        rows_of_split(table, cfg, "test")
