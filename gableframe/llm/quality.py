@@ -113,10 +113,11 @@ def score(docs: DataFrame, classifier: Classifier, cfg: Settings = Settings(), h
 
     Null hosts are one host, null paths one path of their host. Null and empty texts
     are scored by their features like others. Repeated rows are separate documents.
-    Columns of these five names, ``__words``, ``__lines`` and ``__features`` are
-    refused; an empty table gives an empty table.
+    Columns of these five names, ``__words``, ``__lines``, ``__features`` and those of
+    the site's sums (``__h`` to ``__hs``) are refused, any others may stand there; an
+    empty table gives an empty table.
     """
-    made = {"__own", "__host", "__path", "__posterior", "__kept", "__words", "__lines", "__features"}
+    made = {"__own", "__host", "__path", "__posterior", "__kept", "__words", "__lines", "__features", "__h", "__p", "__n", "__s", "__hn", "__hs"}
     if made & set(docs.columns):
         raise ValueError(f"These columns are made here: {sorted(made & set(docs.columns))}")
     base = F.lit(classifier.base)
@@ -141,16 +142,16 @@ def score(docs: DataFrame, classifier: Classifier, cfg: Settings = Settings(), h
     both = paths.join(hosts, paths["h"].eqNullSafe(hosts["h"])).select(paths["h"], "p", "n", "s", "hn", "hs")
     shrunk = (F.col("hs") + host_weight * rate) / (F.col("hn") + host_weight)
     path_weight = _strength(between(both, "n", "s", shrunk), rate, cfg)
-    sites = materialize(both.select(F.col("h").alias("__h"), F.col("p").alias("__p"), "n", "s", "hn", "hs"), "quality-sites")
+    sites = materialize(both.select(F.col("h").alias("__h"), F.col("p").alias("__p"), *(F.col(c).alias(f"__{c}") for c in ("n", "s", "hn", "hs"))), "quality-sites")
     scored = judged.join(sites, judged[host].eqNullSafe(sites["__h"]) & judged[path].eqNullSafe(sites["__p"]))
-    host_rate = (F.col("hs") - F.col("__own") + host_weight * rate) / (F.col("hn") - 1 + host_weight)
+    host_rate = (F.col("__hs") - F.col("__own") + host_weight * rate) / (F.col("__hn") - 1 + host_weight)
     scored = scored.withColumn("__host", host_rate)
-    path_rate = (F.col("s") - F.col("__own") + path_weight * F.col("__host")) / (F.col("n") - 1 + path_weight)
+    path_rate = (F.col("__s") - F.col("__own") + path_weight * F.col("__host")) / (F.col("__n") - 1 + path_weight)
     prior = F.least(F.greatest(path_rate, F.lit(1e-6)), F.lit(1 - 1e-6))
     scored = scored.withColumn("__path", prior)
     evidence = F.ln(F.col("__own") / (1 - F.col("__own"))) - base
     scored = scored.withColumn("__posterior", _probability(evidence + F.ln(F.col("__path") / (1 - F.col("__path")))))
-    return scored.withColumn("__kept", F.col("__posterior") >= cfg.threshold).drop("__h", "__p", "n", "s", "hn", "hs")
+    return scored.withColumn("__kept", F.col("__posterior") >= cfg.threshold).drop("__h", "__p", "__n", "__s", "__hn", "__hs")
 
 
 def _probability(log_odds: Column) -> Column:
