@@ -7,9 +7,9 @@ probability of at most ``MISS``. Every pair that meets is then checked on the wh
 shingle sets, unless links found before already join its two texts; so no pair
 below the similarity is linked, and no bucket has a cap.
 
-Texts with equal shingle sets are one node. Where buckets hold a crowd of near
-copies, one text of each is first compared with the others, which joins most of
-the crowd; only pairs of texts still apart are then listed.
+Texts with equal shingle sets are one node. In a bucket that holds a crowd, all are
+compared with one of them only; those left apart meet again by what they have
+beyond it. See ``links`` for why none is lost.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ SIMILARITY = 0.8
 ROWS = 4
 MISS = 1e-5
 SEED = 42
-CROWD = 4  # pairs per row of a bucket, from which buckets are thinned out first
+CROWD = 16  # members of a bucket whose pairs are listed
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _TURN = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
@@ -117,61 +117,95 @@ def _sets(docs: DataFrame, wanted: DataFrame, text: str, key: str, size: int) ->
     return materialize(out.dropDuplicates(["node"]), "shingles-distinct-sets")  # rows that are repeated as a whole
 
 
-def _checked(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs ``(a, b)`` that are similar enough."""
+def _compared(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """``(a, b, star, linked, n, shared, rest)`` of ``pairs(a, b, star)``: whether the
+    sets are similar enough, the size of ``a``, what both share and, for a star, what
+    ``a`` has beyond its pivot ``b``. Of other pairs only the linked ones stay."""
     one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
     other = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
     both = pairs.join(one.hint("merge"), "a").join(other.hint("merge"), "b")
     shared = F.size(F.array_intersect("x", "y"))
-    return both.where(shared / (F.size("x") + F.size("y") - shared) >= similarity).select("a", "b")
+    told = both.select("a", "b", "star", F.size("x").alias("n"), F.size("y").alias("m"), shared.alias("shared"), F.when(F.col("star"), F.array_except("x", "y")).alias("rest"))
+    linked = F.col("shared") / (F.col("n") + F.col("m") - F.col("shared")) >= similarity
+    return told.select("a", "b", "star", linked.alias("linked"), "n", "shared", "rest").where("star OR linked")
+
+
+def _one_round(members: DataFrame, crowd: int) -> DataFrame:
+    """Pairs ``(a, b, star)`` of ``members(bucket, node, n, open)``: all pairs of a small
+    bucket that have an open member; in a larger one every member with the one that
+    meets most others in all its buckets, which is likely to be near to most."""
+    size = members.groupBy("bucket").agg(F.count("*").alias("size"), F.max("open").alias("any")).where("size > 1 AND any").drop("any")
+    known = members.join(size.hint("merge"), "bucket")
+    large = known.where(F.col("size") > crowd)
+    meets = large.groupBy("node").agg(F.sum("size").alias("meets"))
+    rank = F.max(F.struct("meets", "node"))["node"]
+    pivots = large.select("bucket", "node").join(meets.hint("merge"), "node").groupBy("bucket").agg(rank.alias("pivot"))
+    star = large.join(pivots.hint("merge"), "bucket").where(F.col("node") != F.col("pivot"))
+    star = star.select(F.col("node").alias("a"), F.col("pivot").alias("b"), F.lit(True).alias("star"))
+    few = known.where(F.col("size") <= crowd).select("bucket", "node", "n", "open")
+    # at most crowd - 1 partners a row
+    held = few.groupBy("bucket").agg(F.collect_list(F.struct("node", "n", "open")).alias("held"))
+    met = held.select(F.explode("held").alias("one"), "held").select("one", F.explode("held").alias("two"))
+    met = met.where((F.col("one.node") < F.col("two.node")) & (F.col("one.open") | F.col("two.open")))
+    return star.union(met.select(F.col("one.node").alias("a"), F.col("two.node").alias("b"), F.lit(False).alias("star"))).distinct()
 
 
 def links(docs: DataFrame, marked: DataFrame, chosen: DataFrame, text: str, key: str, size: int, similarity: float, crowd: int = CROWD) -> DataFrame:
     """``(a, b)``: links that connect all nodes connected by pairs that met and are
-    similar enough."""
+    similar enough.
+
+    Small buckets list their pairs. In a larger one all are compared with one pivot.
+    Two sets that are connected with the pivot need no more. If x is not, it shares
+    too little with the pivot to be similar to a set that large, so what it shares with
+    a similar y must in part lie outside the pivot, unless y is smaller than the pivot
+    by more than that. So x goes on into buckets of two kinds: one for each of its
+    shingles outside the pivot (of them as many as cannot all be missed) with the sets that
+    have that shingle too; and, if there are such small sets, one with all of them. The
+    pivot is in no further bucket, so buckets only shrink.
+    """
     spark = docs.sparkSession
     met = marked.select("node", "n", F.explode("buckets").alias("bucket")).distinct()
     shared = met.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    placed = materialize(met.join(shared.select("bucket").hint("merge"), "bucket"), "shingles-buckets")
+    placed = met.join(shared.select("bucket").hint("merge"), "bucket").select("bucket", "node", "n", F.lit(True).alias("open"))
+    members = materialize(placed, "shingles-buckets")
     found = spark.createDataFrame([], "a long, b long")
-    nodes = placed.select("node").distinct()
+    nodes = members.select("node").distinct()
     if nodes.isEmpty():
         return found
     wanted = materialize(chosen.join(nodes, "node").select("node", "own.key", "own.hash"), "shingles-wanted")
     sets = _sets(docs, wanted, text, key, size)
-    # other sizes than these cannot be similar enough
-    sizes_fit = F.least("n", "m") / F.greatest("n", "m") >= similarity
-    tried, turn, before = found, 0, math.inf
-    placed = placed.withColumn("part", F.col("node"))
+    turn = 0
     while True:
-        counts = placed.groupBy("bucket", "part").count()
-        ends = counts.groupBy("bucket").agg(
-            F.sum("count").alias("rows"), F.sum(F.col("count") * F.col("count")).alias("square"), F.max_by("part", "count").alias("main"), F.count("*").alias("parts")
-        )
-        ends = materialize(ends.where("parts > 1"), f"shingles-open-{turn}")
-        rows, pairs = ends.agg(F.sum("rows"), F.sum((F.col("rows") * F.col("rows") - F.col("square")) / 2)).first()
-        if not rows:
+        compared = materialize(_compared(_one_round(members, crowd), sets, similarity), f"shingles-compared-{turn}")
+        found = found.union(compared.where("linked").select("a", "b"))
+        stars = compared.where("star")
+        if stars.where("NOT linked").isEmpty():
             return found
-        inside = placed.join(ends.select("bucket", "main").hint("merge"), "bucket")
-        if pairs <= crowd * rows or pairs > before / 2:
-            break
-        before, turn = pairs, turn + 1
-        first = inside.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("at"), "node", "part", F.col("n").alias("m"))).alias("first"))
-        star = inside.join(first.hint("merge"), "bucket").select("node", "part", "n", "first.at", F.col("first.node").alias("a"), F.col("first.part").alias("other"), "first.m")
-        star = star.where((F.col("part") != F.col("other")) & sizes_fit).groupBy("node").agg(F.min(F.struct("at", "a")).alias("first"))
-        star = star.select(F.least("node", "first.a").alias("a"), F.greatest("node", "first.a").alias("b")).distinct()
-        star = materialize(star, f"shingles-star-{turn}")
-        tried = tried.union(star)
-        found = found.union(materialize(_checked(star, sets, similarity), f"shingles-links-{turn}"))
+        # what found links have connected with the pivot needs no more of it
         group = components(found, f"shingles-parts-{turn}")
-        placed = placed.drop("part").join(group, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
-        placed = materialize(placed, f"shingles-placed-{turn}")
-    few = inside.where("part <> main").select("bucket", F.col("node").alias("a"), F.col("part").alias("other"), F.col("n").alias("m"))
-    apart = (F.col("part") != F.col("other")) & ((F.col("part") == F.col("main")) | (F.col("a") < F.col("node")))
-    rest = few.join(inside.hint("merge"), "bucket").where(apart & sizes_fit)
-    rest = rest.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-    rest = materialize(rest.join(tried.hint("merge"), ["a", "b"], "left_anti"), "shingles-pairs")
-    return found.union(materialize(_checked(rest, sets, similarity), "shingles-links"))
+        part = materialize(group.select("node", "component"), f"shingles-part-{turn}")
+        apart = stars.join(part.select(F.col("node").alias("a"), F.col("component").alias("p")), "a", "left")
+        apart = apart.join(part.select(F.col("node").alias("b"), F.col("component").alias("q")), "b", "left")
+        free = F.coalesce("p", "a") != F.coalesce("q", "b")
+        apart = apart.select("a", "b", "n", "shared", "rest", free.alias("open"))
+        part_of = similarity / (1 + similarity)  # of the sizes of two similar sets together, they share as much
+        least = stars.groupBy("b").agg(F.min("n").alias("low"))
+        reach = F.when(F.col("open"), F.floor(F.col("shared") / part_of - F.col("n") + 1e-6))  # sizes it may resemble within the pivot
+        apart = apart.join(least.hint("merge"), "b").withColumn("reach", reach).withColumn("loose", F.coalesce(F.col("reach") >= F.col("low"), F.lit(False)))
+        need = F.when(F.col("loose"), 1).otherwise(F.ceil((F.col("n") + F.col("low")) * part_of - 1e-6) - F.col("shared"))
+        first = F.size("rest") - F.greatest(need, F.lit(1)) + 1
+        apart = materialize(apart.withColumn("first", first.cast("int")), f"shingles-apart-{turn}")
+        asked = apart.where("open AND first > 0").select("b", F.explode(F.slice("rest", 1, F.col("first"))).alias("e")).groupBy("b", "e").count()
+        asked = materialize(asked.select("b", "e"), f"shingles-asked-{turn}")
+        held = apart.join(asked.select("b").distinct().hint("merge"), "b", "left_semi")
+        each = held.select("b", F.col("a").alias("node"), F.col("n").cast("long").alias("n"), "open", F.explode("rest").alias("e"))
+        each = each.join(asked.hint("merge"), ["b", "e"]).select(F.xxhash64("b", "e").alias("bucket"), "node", "n", "open")
+        small = apart.join(apart.where("loose").groupBy("b").agg(F.max("reach").alias("most")).hint("merge"), "b").where("loose OR n <= most")
+        small = small.select(F.xxhash64("b", F.lit("small")).alias("bucket"), F.col("a").alias("node"), F.col("n").cast("long").alias("n"), "open")
+        members = materialize(each.union(small).distinct(), f"shingles-further-{turn}")
+        if members.isEmpty():
+            return found
+        turn += 1
 
 
 def groups(docs: DataFrame, text: str = "text", key: str = "doc_id", size: int = SIZE, similarity: float = SIMILARITY, crowd: int = CROWD) -> DataFrame:
