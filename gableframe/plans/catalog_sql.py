@@ -281,7 +281,7 @@ nested_sizes AS (
   SELECT batch_id, any_value(kind) AS kind, count(*) AS n_records, count(predicted_price) AS rows_predicted,
          round(sum(predicted_price), -2) AS predicted_sum,
          string_agg(array_to_string(list_transform(reasons, lambda r: 'records[' || CAST(place AS VARCHAR) || '].' || r), ','), ',' ORDER BY place)
-           FILTER (WHERE kind = 'mixed' AND len(reasons) > 0) AS bad
+           FILTER (WHERE kind IN ('mixed', 'large') AND len(reasons) > 0) AS bad
   FROM nested_records GROUP BY batch_id
 ),
 nested_told AS (
