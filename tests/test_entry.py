@@ -16,7 +16,7 @@ def test_every_sql_has_its_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert set(QUERIES) <= set(entry.queries())
     assert set(QUERIES) - set(ORACLE) == {
-        "ols_full", "ridge_full", "random_forest", "gbt", "all_candidates", "tuned_trials", "loaded_model_info",
+        "random_forest", "gbt", "all_candidates", "tuned_trials", "loaded_model_info",
     }
 
 
