@@ -24,9 +24,9 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def op1_url_lists(spark: SparkSession, folder: str) -> DataFrame:
-    """Pages as captures of January 2024; the events are the list's changes: those of
-    three types put the host, path or URL of the page of their number on the list or
-    take it off."""
+    """Pages as captures of January 2024; the events are the list's changes: each event
+    of three types puts the host, path or URL of a page on the list or takes it off. Page
+    ids have no gaps, so the event's number modulo their count is its page."""
     pages = _table(spark, folder, "pages")
     seconds = F.lit(1704067200) + F.pmod(F.col("page_id") * 7919, F.lit(2592000))
     captures = pages.select("page_id", "url", F.timestamp_seconds(seconds).alias("fetched_at"))
@@ -38,7 +38,8 @@ def op1_url_lists(spark: SparkSession, folder: str) -> DataFrame:
     kind = F.when(turn < 2, "domain").when(turn == 2, "prefix").otherwise("url")
     pattern = F.when(turn == 0, name).when(turn == 1, F.substring_index(name, ".", -3))
     pattern = pattern.when(turn == 2, F.element_at(url_lists.prefixes(name, way), -1)).otherwise(F.concat(name, way))
-    changes = at.join(pages.select(F.col("page_id").alias("event_id"), "url"), "event_id")
+    named = at.where("action IS NOT NULL").withColumn("page_id", F.pmod("event_id", F.lit(max(1, pages.count()))))
+    changes = named.join(pages.select("page_id", "url"), "page_id")
     changes = changes.select(kind.alias("kind"), pattern.alias("pattern"), "action", "at")
     found = url_lists.verdicts(captures, changes)
     return found.select("page_id", F.unix_micros("fetched_at").alias("fetched_us"), "verdict", "kind", "pattern", F.unix_micros("since").alias("since_us"))
@@ -146,7 +147,7 @@ raw_changes AS (
          CASE event_id % 4 WHEN 0 THEN host WHEN 1 THEN array_to_string(labels[greatest(len(labels) - 2, 1):], '.')
            WHEN 2 THEN host || array_to_string(steps[1:len(steps) - 1], '/') || '/' ELSE host || path END AS pattern,
          CASE event_type WHEN 'signup' THEN 3 WHEN 'view' THEN 2 WHEN 'purchase' THEN 1 END AS action, ts
-  FROM events JOIN keyed ON page_id = event_id),
+  FROM events JOIN keyed ON page_id = event_id % (SELECT count(*) FROM pages)),
 changes AS (
   SELECT kind, pattern, ts, max(action) AS action FROM raw_changes WHERE action IS NOT NULL GROUP BY ALL),
 held AS (

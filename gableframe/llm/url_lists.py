@@ -3,10 +3,10 @@
 List entries are changes: from a moment on, a pattern blocks, allows, or is off the
 list. Each pattern's changes become validity intervals, from one change to the
 next. A capture has a key for its URL, for every leading part of its path and for
-every domain it lies in; each key is joined to the interval that holds at the fetch
-time. Intervals are cut at day bounds and joined on pattern and day, so a pattern
-that changed a thousand times costs a capture only the changes of its day. The most
-specific pattern on the list decides.
+every domain it lies in. The as-of join puts interval starts and the moments asked
+for in one order per key and block of time: the last start at or before a moment is
+its interval, or the one carried in from earlier blocks. The most specific pattern on
+the list decides.
 
 All of it is DataFrame operations. Captures are reduced to different pairs of URL
 and time before keys are made, and only those narrow rows are shuffled.
@@ -25,6 +25,8 @@ KINDS = ("domain", "prefix", "url")
 #: this list that occurs holds.
 ACTIONS = ("remove", "allow", "block")
 UNLISTED = "unlisted"
+#: Seconds of a block of time within which one task orders a pattern's moments.
+BLOCK = 3600
 _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)"
 _PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)"
 
@@ -88,6 +90,31 @@ def intervals(changes: DataFrame) -> DataFrame:
     return both.select("kind", "pattern", "action", F.col("at").alias("since"), until.alias("until")).where("action <> 'remove'")
 
 
+def as_of(moments: DataFrame, held: DataFrame, block: int = BLOCK) -> DataFrame:
+    """``(kind, pattern, t, action, since)`` for each different ``moments(kind, pattern,
+    t)`` that lies in one of the intervals ``held``.
+
+    Both sides are put in one order per pattern and block of ``block`` seconds, where
+    each moment takes the last start at or before it. What a block ends with is carried
+    to the later ones over one row per pattern and block, so no task orders all moments
+    or changes of a pattern, and an interval is one row however long it lasts. Equal
+    moments of a hot pattern are one row.
+    """
+    entry = F.struct("since", "until", "action")
+    number = F.floor(F.unix_seconds(F.col("t").cast("timestamp")) / block)
+    starts = held.select("kind", "pattern", F.col("since").alias("t"), entry.alias("entry"))
+    both = starts.unionByName(moments.select("kind", "pattern", "t").distinct(), allowMissingColumns=True)
+    both = materialize(both.withColumn("block", number), "url-moments")
+    ends = both.groupBy("kind", "pattern", "block").agg(F.max("entry").alias("last"))
+    earlier = Window.partitionBy("kind", "pattern").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.withColumn("carried", F.last("last", ignorenulls=True).over(earlier)).drop("last")
+    # a start and a moment at one time are peers, so the start counts
+    inside = Window.partitionBy("kind", "pattern", "block").orderBy("t").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    own = both.withColumn("own", F.last("entry", ignorenulls=True).over(inside)).where("entry IS NULL")
+    found = own.join(carried, ["kind", "pattern", "block"]).withColumn("entry", F.coalesce("own", "carried"))
+    return found.where("entry IS NOT NULL AND (entry.until IS NULL OR t < entry.until)").select("kind", "pattern", "t", "entry.action", "entry.since")
+
+
 def verdicts(captures: DataFrame, changes: DataFrame, url: str = "url", at: str = "fetched_at") -> DataFrame:
     """All columns of the captures and ``verdict`` (block, allow or unlisted), ``kind``,
     ``pattern`` and ``since`` of the deciding entry (null if unlisted).
@@ -96,27 +123,22 @@ def verdicts(captures: DataFrame, changes: DataFrame, url: str = "url", at: str
     interval holds from its change on, up to but not at the next. Captures with a
     null URL or time, or without a host, are unlisted; repeated captures stay
     repeated; an empty list leaves all unlisted. Columns with the four names are
-    refused. Times may be timestamps with or without a zone, in both tables alike.
+    refused, all others kept, whatever their names. Times may be timestamps with or without a zone, in both tables alike.
     """
     made = {"verdict", "kind", "pattern", "since"}
     if made & set(captures.columns):
         raise ValueError(f"These columns are made here: {sorted(made & set(captures.columns))}")
     pairs = captures.select(F.col(url).alias("u"), F.col(at).alias("t")).where("u IS NOT NULL AND t IS NOT NULL").distinct()
-    pairs = materialize(pairs, "url-pairs")
-    first, last = pairs.agg(F.min("t"), F.max("t")).first()
-    held = intervals(changes)
-    if first is None:
-        held = held.limit(0)
-    day = F.sequence(
-        F.to_date(F.greatest("since", F.lit(first).cast(dict(held.dtypes)["since"]))),
-        F.to_date(F.least(F.coalesce("until", F.lit(last).cast(dict(held.dtypes)["since"])), F.lit(last).cast(dict(held.dtypes)["since"]))),
-    )
-    seen = held.where((F.col("since") <= F.lit(last)) & (F.col("until").isNull() | (F.col("until") > F.lit(first))))
-    by_day = seen.withColumn("day", F.explode(day))
-    asked = pairs.where(host(F.col("u")) != "").select("u", "t", F.to_date("t").alias("day"), F.inline(keys(F.col("u"))))
-    met = asked.join(by_day, ["kind", "pattern", "day"]).where("since <= t AND (until IS NULL OR t < until)")
+    asked = pairs.where(host(F.col("u")) != "").select("u", "t", F.inline(keys(F.col("u"))))
+    asked = materialize(asked, "url-asked")
+    met = asked.join(as_of(asked.select("kind", "pattern", "t"), intervals(changes)), ["kind", "pattern", "t"])
     rank = F.struct(F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).alias("r"), F.length("pattern").alias("n"), "pattern")
-    best = met.groupBy("u", "t").agg(F.max_by(F.struct("action", "kind", "pattern", "since"), rank).alias("entry"))
-    best = materialize(best.select("u", "t", "entry.*"), "url-verdicts")
-    joined = captures.join(best, (captures[url] == best["u"]) & (captures[at] == best["t"]), "left")
-    return joined.select(*[captures[c] for c in captures.columns], F.coalesce("action", F.lit(UNLISTED)).alias("verdict"), "kind", "pattern", "since")
+    best = met.groupBy("u", "t").agg(F.max_by(F.struct("action", "kind", "pattern", "since"), rank).alias("__entry"))
+    best = materialize(best.select(F.col("u").alias("__u"), F.col("t").alias("__t"), "__entry"), "url-verdicts")
+    joined = captures.join(best, (captures[url] == best["__u"]) & (captures[at] == best["__t"]), "left")
+    entry = best["__entry"]
+    return joined.select(
+        *[captures[c] for c in captures.columns],
+        F.coalesce(entry["action"], F.lit(UNLISTED)).alias("verdict"),
+        *(entry[c].alias(c) for c in ("kind", "pattern", "since")),
+    )

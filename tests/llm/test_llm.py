@@ -370,3 +370,30 @@ def test_pipeline(spark):
     rest = corpus_pipeline.benchmark_free(spark, corpus_pipeline.near_duplicates(spark, good, folder), folder)
     assert good.columns == rest.columns == docs.columns and 0 < rest.count() < good.count() < docs.count()
     assert {r.doc_id for r in out.select("doc_id").collect()} == {r.doc_id for r in rest.select("doc_id").collect()}
+
+
+def test_url_lists_as_of(spark):
+    """Long histories of a hot pattern, captures on changes and far from any, columns
+    of the same names as the list's: brute force."""
+    rng = random.Random(9)
+    places = ["hot.com"] * 6 + [f"p{i}.org" for i in range(5)]
+    changes = [("domain", rng.choice(places), rng.choice(url_lists.ACTIONS), rng.choice([rng.randint(0, 90), rng.randint(0, 2_000_000)])) for _ in range(500)]
+    changes += [("url", f"{name}/a", rng.choice(url_lists.ACTIONS), rng.randint(0, 2_000_000)) for name in places for _ in range(6)]
+    times = [at for *_, at in changes]
+    asks = [(f"http://{rng.choice(places)}/{rng.choice('ab')}", rng.choice([rng.choice(times), rng.randint(0, 3_000_000)]), i, "x", 1, None) for i in range(600)]
+    asks += asks[:5] + [("http://hot.com/" + "long/" * 300, 1_000_000, 601, "x", 1, None)]
+    listed = spark.createDataFrame(changes, "kind string, pattern string, action string, at long").withColumn("at", F.timestamp_seconds("at"))
+    captures = spark.createDataFrame(asks, "url string, s long, i long, action string, t long, entry string").withColumn("fetched_at", F.timestamp_seconds("s"))
+    out = url_lists.verdicts(captures, listed)
+    assert out.columns == [*captures.columns, "verdict", "kind", "pattern", "since"]
+
+    def brute(url, at):
+        name, way = url.removeprefix("http://").split("/", 1)
+        for kind, pattern in (("url", f"{name}/{way}"), ("domain", name)):
+            past = [(when, url_lists.ACTIONS.index(action)) for k, p, action, when in changes if (k, p) == (kind, pattern) and when <= at]
+            if past and max(past)[1]:
+                return url_lists.ACTIONS[max(past)[1]], kind
+        return "unlisted", None
+
+    got = [(r.i, r.action, r.verdict, r.kind) for r in out.collect()]
+    assert sorted(got) == sorted((i, "x", *brute(url, s)) for url, s, i, *_ in asks)
