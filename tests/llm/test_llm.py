@@ -397,3 +397,71 @@ def test_url_lists_as_of(spark):
 
     got = [(r.i, r.action, r.verdict, r.kind) for r in out.collect()]
     assert sorted(got) == sorted((i, "x", *brute(url, s)) for url, s, i, *_ in asks)
+
+
+def _used(tree):
+    return set() if len(tree) == 1 else {html_text.FEATURES[tree[0]]} | _used(tree[2]) | _used(tree[3])
+
+
+def test_html_keeps_text_in_odd_markup(spark):
+    tree = html_text.fit(spark)
+    long = " ".join(["long"] * 40)
+    cases = [
+        ("<article><p title=it's>Hello world</p><p>I don't know</p><p>last</p></article>", "Hello world\nI don't know\nlast"),
+        ('<article><p title="abc>Hello</p><p>more</p></article>', "Hello\nmore"),
+        ("<article class='hidden-gems'><p>One</p><div class='social-science'><p>Two</p></div><div class='shareLinks'>No</div></article>", "One\nTwo"),
+        ("<form><ul><li><a href=/>Home</a></ul><article><p>In a form</p></article></form>", "In a form"),
+        (f"<div><a href=/>Home</a></div><div><p>{long}</p><p>Short.</p><p>{long}</p></div>", f"{long}\nShort.\n{long}"),
+        (f"<p>{long}</p>", long),
+        ("<article><p>Text</p><form><p>Your name</p></form><ul><li>a<li>b</ul></article></div></p>", "Text\na\nb"),
+    ]
+    for page, want in cases:
+        assert html_text.main_text(page, tree) == want
+
+
+def test_html_tree_is_fitted_on_link_density_and_holds_on_other_pages(spark):
+    tree = html_text.fit(spark)
+    assert {"links", "parent_links"} <= _used(tree) and _used(tree) & {"links_before", "links_after"}
+    wrong = total = 0
+    for page in html_text.labelled_pages(200, seed=5):
+        found = html_text.blocks(page)
+        judged = [html_text.decide(tree, f) for f in html_text.describe(found)]
+        total += len(found)
+        wrong += sum(b.marked != j for b, j in zip(found, judged))
+    assert total > 2_000 and wrong <= 0.01 * total
+
+
+def test_html_equals_a_plain_parser_on_given_pages(spark):
+    """The given pages have their text in the blocks of one article element."""
+    from html.parser import HTMLParser
+
+    class Plain(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.inside, self.found = False, [""]
+
+        def handle_starttag(self, tag, attrs):
+            self.inside = self.inside or tag == "article"
+            if tag in ("h1", "p", "article"):
+                self.found.append("")
+            elif tag == "br":
+                self.found[-1] += " "
+
+        def handle_endtag(self, tag):
+            self.inside = self.inside and tag != "article"
+            if tag in ("h1", "p"):
+                self.found.append("")
+
+        def handle_data(self, data):
+            if self.inside:
+                self.found[-1] += data
+
+    def plain(page):
+        parser = Plain()
+        parser.feed(page or "")
+        return "\n".join(t for t in (" ".join(x.split()) for x in parser.found) if t)
+
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    got = {r.page_id: (r.text, r.n_chars) for r in html_text.extract(pages).collect()}
+    want = {r.page_id: plain(r.html) for r in pages.collect()}
+    assert got == {k: (v, len(v)) for k, v in want.items()} and any(want.values())
