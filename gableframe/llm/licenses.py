@@ -7,10 +7,11 @@ them, and on a bounded sample of the corpus. Its probabilities are softened by a
 temperature fitted on held-out parts. A family that is found is confirmed by
 comparing the paragraph with that family's notices.
 
-Every n-gram of the notices counts. A paragraph without a word of the notices has no features and is no
-notice, so one pattern over the text decides exactly which paragraphs need scoring,
-and the corpus has no part in it. Paragraphs are scored once however many documents
-repeat them. The main path is DataFrame operations.
+Every n-gram of the notices counts. In each paragraph the n-grams that are in the
+vocabulary are found by set membership, and a bound of what they can say for any
+family decides exactly which paragraphs can be more than unknown; the corpus has no
+part in it. Only those are scored, once however many documents repeat them. The main
+path is DataFrame operations.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 UNKNOWN = "unknown"
+FOLDS = 4
+LEVELS = 8  # sets of n-grams of like gain, for the bound
 
 # Customary notices of licence families.
 NOTICES = {
@@ -125,15 +128,13 @@ def words(text: Column) -> Column:
 
 def ngrams(tokens: Column, least: int, most: int) -> Column:
     """Different runs of ``least`` to ``most`` words."""
-    n = F.size(tokens)
-    parts = [
-        F.when(
-            n >= size,
-            F.transform(F.sequence(F.lit(1), n - size + 1), lambda i, size=size: F.array_join(F.slice(tokens, i, size), " ")),
-        ).otherwise(F.array().cast("array<string>"))
-        for size in range(least, most + 1)
-    ]
-    return F.array_distinct(F.concat(*parts))
+
+    def runs(size: int) -> Column:
+        starts = F.sequence(F.lit(1), F.size(tokens) - size + 1)
+        found = F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, size), " "))
+        return F.when(F.size(tokens) >= size, found).otherwise(F.array().cast("array<string>"))
+
+    return F.array_distinct(F.concat(*map(runs, range(least, most + 1))))
 
 
 def paragraphs(text: Column) -> Column:
@@ -175,11 +176,11 @@ def fit(docs: DataFrame, cfg: Settings = Settings(), key: str = "doc_id", text:
     clear = sampled.where(~F.arrays_overlap(words(F.col("p")), F.array(*map(F.lit, LICENCE_WORDS))))
     negatives = clear.select(F.lit(UNKNOWN).alias("family"), "p").orderBy(F.xxhash64("p")).limit(4 * cfg.sample)
     table = known.union(negatives).select("family", "p", words(F.col("p")).alias("ws")).select("family", "p", ngrams(F.col("ws"), 1, 3).alias("grams"))
-    table = materialize(table.withColumn("fold", F.pmod(F.xxhash64("p"), F.lit(4))), "license-train")
+    table = materialize(table.withColumn("fold", F.pmod(F.xxhash64("p"), F.lit(FOLDS))), "license-train")
     families = (*NOTICES, UNKNOWN)
     number = F.array_position(F.array(*map(F.lit, families)), F.col("family")).cast("double") - 1
     vectors = CountVectorizer(inputCol="grams", outputCol="v", binary=True, minDF=1.0).fit(table.where(F.col("family") != UNKNOWN))
-    rows = vectors.transform(table.withColumn("y", number))
+    rows = vectors.transform(table.withColumn("y", number)).coalesce(1)  # a few thousand rows: one task a step
     learn = LogisticRegression(featuresCol="v", labelCol="y", regParam=cfg.penalty, family="multinomial", maxIter=100)
     held_out = learn.fit(rows.where("fold <> 0")).transform(rows.where("fold = 0")).select("rawPrediction", "y").collect()
     heat = temperature(np.array([r[0].toArray() for r in held_out]), np.array([int(r[1]) for r in held_out]))
@@ -202,16 +203,59 @@ def temperature(scores: np.ndarray, truth: np.ndarray) -> float:
     return min(np.geomspace(0.25, 8, 41).tolist(), key=loss)
 
 
+def _runs(known: Column, size: int, vocabulary: list[str]) -> Column:
+    """Runs of ``size`` words that are in the vocabulary; a null breaks a run."""
+    if not vocabulary:
+        return F.array().cast("array<string>")
+
+    def joined(i: Column) -> Column:
+        return F.concat(known[i - 1], *(part for j in range(1, size) for part in (F.lit(" "), known[i - 1 + j])))
+
+    runs = F.transform(F.sequence(F.lit(1), F.size(known) - size + 1), joined)
+    return F.when(F.size(known) >= size, F.filter(runs, lambda g: g.isin(vocabulary))).otherwise(F.array().cast("array<string>"))
+
+
+def possible(texts: DataFrame, model: Model) -> DataFrame:
+    """The columns of ``texts``, which has ``p``, with ``grams``, the different n-grams
+    of ``p`` in the vocabulary, and ``possible``: false where unknown is certainly the
+    likeliest class.
+
+    An n-gram favours no family over unknown by more than its gain, and gains are
+    rounded up to the greatest of their level, so their sum is an upper bound.
+    """
+    by_size: dict[int, list[str]] = {1: [], 2: [], 3: []}
+    gains: dict[str, float] = {}
+    for gram, w in model.weights:
+        by_size[gram.count(" ") + 1].append(gram)
+        gains[gram] = max(w[:-1]) - w[-1]
+    order = sorted(gains, key=gains.get)
+    levels = [part.tolist() for part in np.array_split(np.array(order, dtype=object), LEVELS) if len(part)]
+    kept = texts.columns
+
+    def once(value: Column) -> Column:
+        # a condition on the row's number, always true, keeps filters and later steps from repeating the work
+        return F.when(F.monotonically_increasing_id() >= 0, value)
+
+    known = F.transform(words(F.col("p")), lambda w: F.when(w.isin(by_size[1]), w))
+    split = texts.select("*", once(known).alias("__known"))
+    runs = [F.filter("__known", lambda w: w.isNotNull()), *(_runs(F.col("__known"), n, by_size[n]) for n in (2, 3))]
+    found = split.select(*kept, once(F.array_distinct(F.concat(*runs))).alias("grams"))
+
+    def gain(level: list[str]) -> Column:
+        return F.size(F.filter("grams", lambda g: g.isin(level))) * F.lit(gains[level[-1]])
+
+    bound = sum(map(gain, levels), F.lit(max(model.intercepts[:-1]) - model.intercepts[-1] + 1e-6))
+    return found.select(*kept, "grams", once(F.col("p").isNotNull() & (F.size("grams") > 0) & (bound > 0)).alias("possible"))
+
+
 def classify(texts: DataFrame, model: Model, cfg: Settings = Settings()) -> DataFrame:
-    """``(p, family, probability, likeness)`` for each different paragraph ``p``;
-    family is null where none is likely enough."""
+    """``(p, family, probability, likeness)`` for each different paragraph ``p`` of
+    ``texts(p, grams)``; paragraphs without a family that is likely enough are absent."""
     spark = texts.sparkSession
     k = len(model.families)
     # vocabulary and notices come from the fixed list above, so their size is fixed
     weights = F.broadcast(spark.createDataFrame(list(model.weights), "gram string, w array<double>"))
-    # words are split once, not for every n-gram
-    split = texts.select("p", words(F.col("p")).alias("ws"))
-    grams = split.select("p", F.explode(ngrams(F.col("ws"), 1, 3)).alias("gram")).join(weights, "gram")
+    grams = texts.dropDuplicates(["p"]).select("p", F.explode("grams").alias("gram")).join(weights, "gram")
     sums = grams.groupBy("p").agg(F.array(*(F.sum(F.col("w")[i]) for i in range(k))).alias("z"))
     z = F.transform(F.zip_with("z", F.array(*map(F.lit, model.intercepts)), lambda a, b: a + b), lambda x: x)
     top = sums.withColumn("z", z).withColumn("top", F.array_max("z"))
@@ -247,23 +291,19 @@ def scan(docs: DataFrame, model: Model, cfg: Settings = Settings(), key: str = "
     repeated, null keys are kept, other columns are not read. Ties go to the better
     likeness, then to the first family by name.
     """
-    word = "(?i)(?<![\\p{L}\\p{N}])(?:" + "|".join(sorted(model.triggers)) + ")(?![\\p{L}\\p{N}])"
-    maybe = F.coalesce(F.col(text).rlike(word), F.lit(False)) if model.triggers else F.lit(False)
-    kept = F.filter(paragraphs(F.col(text)), lambda p: p.rlike(word)) if model.triggers else F.array()
-    found = docs.select(
-        F.col(key).alias("key"),
-        F.monotonically_increasing_id().alias("row"),
-        F.when(maybe, kept).otherwise(F.array().cast("array<string>")).alias("ps"),
-    )
-    found = materialize(found, "license-candidates")
-    single = found.select("row", "key", F.explode("ps").alias("p"))
-    verdicts = materialize(classify(single.select("p").distinct(), model, cfg), "license-verdicts")
+    numbered = docs.select(F.col(key).alias("key"), F.monotonically_increasing_id().alias("row"), F.col(text).alias("text"))
+    rows = numbered.select("key", "row", F.posexplode_outer(paragraphs(F.col("text"))).alias("pos", "p"))
+    found = possible(rows.select("key", "row", F.coalesce("pos", F.lit(0)).alias("pos"), "p"), model)
+    # the first paragraph stands for its document, also where there is none
+    found = materialize(found.where("possible OR pos = 0").withColumn("p", F.expr("IF(possible, p, NULL)")), "license-candidates")
+    single = found.where("possible")
+    verdicts = materialize(classify(single.select("p", "grams"), model, cfg), "license-verdicts")
     rank = F.struct("probability", "likeness", F.transform(F.split("family", ""), lambda c: -F.ascii(c)))
     best = single.join(verdicts, "p").groupBy("row").agg(
         F.max_by(F.struct("family", "probability", "likeness"), rank).alias("v"), F.count("*").alias("n")
     )
     best = materialize(best, "license-best")
-    out = found.select("row", "key").join(best, "row", "left")
+    out = found.where("pos = 0").select("row", "key").join(best, "row", "left")
     return out.select(
         F.col("key").alias(key),
         F.coalesce("v.family", F.lit(UNKNOWN)).alias("license"),

@@ -345,7 +345,7 @@ def test_licenses(spark):
     docs = spark.createDataFrame([(*r, "z") for r in corpus + rows], "doc_id long, text string, license string")
     got = [(r.doc_id, r.license, r.confirmed) for r in licenses.find(spark, docs).collect()]
     assert len(got) == len(corpus) + len(rows)
-    assert (100, "mit", True) in got and (101, "gpl", False) in got and got.count((None, "proprietary", True)) == 2
+    assert (100, "mit", True) in got and (101, "gpl", True) in got and got.count((None, "proprietary", True)) == 2
     assert all(name == "unknown" for key, name, _ in got if key not in (100, 101, None))
     assert licenses.scan(docs.limit(0), licenses.fit(docs)).count() == 0
 
@@ -465,3 +465,22 @@ def test_html_equals_a_plain_parser_on_given_pages(spark):
     got = {r.page_id: (r.text, r.n_chars) for r in html_text.extract(pages).collect()}
     want = {r.page_id: plain(r.html) for r in pages.collect()}
     assert got == {k: (v, len(v)) for k, v in want.items()} and any(want.values())
+
+
+def test_licenses_bound_drops_no_notice(spark):
+    """Runs of one to three words, and a plain scoring of every paragraph: the bound
+    keeps all that can be more than unknown. Unlisted wordings are named."""
+    got = spark.sql("SELECT array('a', 'b', 'c', 'd') AS ws").select(licenses.ngrams(F.col("ws"), 1, 3).alias("g")).first()["g"]
+    assert got == ["a", "b", "c", "d", "a b", "b c", "c d", "a b c", "b c d"]
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = licenses.fit(docs)
+    own = [(9_000, "x\n\nDistributed under the Apache License 2.0"), (9_001, "All rights reserved. " * 20_000), (9_002, "one\nReleased under the MIT License.\nReleased under the MIT License.")]
+    docs = docs.select("doc_id", "text").union(spark.createDataFrame(own, "doc_id long, text string"))
+    weights = dict(model.weights)
+    paragraphs = docs.select(F.explode(licenses.paragraphs(F.col("text"))).alias("p")).distinct()
+    kept = {r.p: r.possible for r in licenses.possible(paragraphs, model).collect()}
+    for r in paragraphs.select("p", licenses.ngrams(licenses.words(F.col("p")), 1, 3).alias("g")).collect():
+        z = [b + sum(weights[g][i] for g in r.g if g in weights) for i, b in enumerate(model.intercepts)]
+        assert kept[r.p] or max(z) == z[-1]
+    found = {r.doc_id: (r.license, r.n_notices) for r in licenses.scan(docs, model).collect()}
+    assert found[9_000] == ("apache", 1) and found[9_002] == ("mit", 2)
