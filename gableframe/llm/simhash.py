@@ -31,10 +31,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import shingles
 from .common import components, forest, materialize, partitions_for, ship_package
 
 BITS = 64
+SIZE = 3
 RADIUS = 2  # the shard rule above meets all pairs up to this many bits
 SEED = 42
 LEAF = 4096
@@ -42,7 +42,7 @@ _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuv
 _PAIRS_HELD = 1 << 20
 
 
-def fingerprint(text: str | None, size: int = 3) -> int:
+def fingerprint(text: str | None, size: int = SIZE) -> int:
     """SimHash of word shingles, each occurrence counted. Null or no words: 0."""
     words = (text or "").encode().translate(_LOWER).split()
     if not words:
@@ -61,13 +61,13 @@ def fingerprint(text: str | None, size: int = 3) -> int:
     return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
 
 
-def with_fingerprint(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def with_fingerprint(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), size: int = SIZE) -> DataFrame:
     """The ``keep`` columns and ``fp``, the fingerprint as a signed 64-bit number."""
     ship_package(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = np.array([fingerprint(x.as_py()) for x in batch.column(len(keep))], dtype=np.uint64)
+            values = np.array([fingerprint(x.as_py(), size) for x in batch.column(len(keep))], dtype=np.uint64)
             columns = [batch.column(i) for i in range(len(keep))]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(values.view(np.int64))], names=[*keep, "fp"])
 
@@ -107,33 +107,35 @@ def shards(fp: Column, blocks: int) -> Column:
     return F.filter(F.array(own, *beside), lambda x: x.isNotNull())
 
 
-def links(fps: DataFrame, leaf: int = LEAF, blocks: int | None = None) -> DataFrame:
+def links(fps: DataFrame, leaf: int = LEAF, blocks: int | None = None, radius: int = RADIUS) -> DataFrame:
     """``(a, b)``: links that connect every two fingerprints within the radius.
 
     ``fps`` has one column ``fp`` of different values. More rows take more
     blocks, hence smaller shards; the links connect the same fingerprints.
     """
+    if not 0 <= radius <= RADIUS:
+        raise ValueError(f"The shards meet all pairs up to {RADIUS} bits apart, not {radius}")
     rows = fps.count()
     if blocks is None:
         blocks = 4 if rows <= 1 << 19 else 8 if rows <= 1 << 28 else 16
-    found = materialize(_level(fps, rows, blocks, leaf), "simhash-shards")
+    found = materialize(_level(fps, rows, blocks, leaf, radius), "simhash-shards")
     crowd = found.where("b IS NULL").select(F.col("a").alias("fp")).distinct()
     out = found.where("b IS NOT NULL")
     if not crowd.isEmpty():
         crowd = materialize(crowd, "simhash-crowd")
-        out = out.union(materialize(_level(crowd, crowd.count(), BITS, BITS + 1), "simhash-leaves"))
+        out = out.union(materialize(_level(crowd, crowd.count(), BITS, BITS + 1, radius), "simhash-leaves"))
     return out.distinct()
 
 
-def _level(fps: DataFrame, rows: int, blocks: int, leaf: int) -> DataFrame:
+def _level(fps: DataFrame, rows: int, blocks: int, leaf: int, radius: int) -> DataFrame:
     placed = fps.select(F.explode(shards(F.col("fp"), blocks)).alias("shard"), "fp")
     n = partitions_for(fps.sparkSession, rows * (2 * blocks + 1), 2_000_000)
     sorted_rows = placed.repartition(n, "shard").sortWithinPartitions("shard", "fp")
     ship_package(fps.sparkSession)
-    return sorted_rows.mapInArrow(lambda batches: search(batches, leaf), "a long, b long")
+    return sorted_rows.mapInArrow(lambda batches: search(batches, leaf, radius), "a long, b long")
 
 
-def search(batches: Iterator[pa.RecordBatch], leaf: int) -> Iterator[pa.RecordBatch]:
+def search(batches: Iterator[pa.RecordBatch], leaf: int, radius: int) -> Iterator[pa.RecordBatch]:
     """Links within each run of equal shards. A run longer than ``leaf`` is handed
     on as ``(fingerprint, null)``; at most ``leaf`` rows of it are held."""
     shard = np.empty(0, dtype=np.int64)
@@ -145,7 +147,7 @@ def search(batches: Iterator[pa.RecordBatch], leaf: int) -> Iterator[pa.RecordBa
         if not len(shard):
             continue
         whole = int(np.searchsorted(shard, shard[-1], side="left"))
-        yield from _search_runs(shard[:whole], fp[:whole], leaf, crowded)
+        yield from _search_runs(shard[:whole], fp[:whole], leaf, radius, crowded)
         if whole:
             crowded = None
         shard, fp = shard[whole:], fp[whole:]
@@ -155,7 +157,7 @@ def search(batches: Iterator[pa.RecordBatch], leaf: int) -> Iterator[pa.RecordBa
             # keep one row, so that the rest of the run is known to be crowded
             shard, fp = shard[:1], fp[:1]
     if len(shard):
-        yield from _search_runs(shard, fp, leaf, crowded)
+        yield from _search_runs(shard, fp, leaf, radius, crowded)
 
 
 def _out(a: np.ndarray, b: np.ndarray | None) -> pa.RecordBatch:
@@ -163,7 +165,7 @@ def _out(a: np.ndarray, b: np.ndarray | None) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a), other], names=["a", "b"])
 
 
-def _search_runs(shard: np.ndarray, fp: np.ndarray, leaf: int, crowded: int | None) -> Iterator[pa.RecordBatch]:
+def _search_runs(shard: np.ndarray, fp: np.ndarray, leaf: int, radius: int, crowded: int | None) -> Iterator[pa.RecordBatch]:
     if not len(shard):
         return
     starts = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]])
@@ -183,7 +185,7 @@ def _search_runs(shard: np.ndarray, fp: np.ndarray, leaf: int, crowded: int | No
     held_b: list[np.ndarray] = []
     held = 0
     while len(live := live[live + shift < end[live]]):
-        near = live[np.bitwise_count(word[live] ^ word[live + shift]) <= RADIUS]
+        near = live[np.bitwise_count(word[live] ^ word[live + shift]) <= radius]
         held_a.append(near)
         held_b.append(near + shift)
         held += len(near)
@@ -200,7 +202,9 @@ def _search_runs(shard: np.ndarray, fp: np.ndarray, leaf: int, crowded: int | No
             yield _out(fp[node], fp[label[node]])
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", leaf: int = LEAF) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, text: str = "text", key: str = "doc_id", leaf: int = LEAF, size: int = SIZE, radius: int = RADIUS
+) -> DataFrame:
     """``(key, fp, component)`` for every row: component is the smallest key of
     the rows reachable by links.
 
@@ -210,9 +214,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", le
     wins over another; a component of null keys only has a null component.
     An empty table gives an empty table; other columns are not read.
     """
-    marked = materialize(with_fingerprint(docs, text, (key,)), "simhash-fingerprints")
+    marked = materialize(with_fingerprint(docs, text, (key,), size), "simhash-fingerprints")
     first = materialize(marked.groupBy("fp").agg(F.min(key).alias("first")), "simhash-distinct")
-    group = components(links(first.select("fp"), leaf), "simhash-components")
+    group = components(links(first.select("fp"), leaf, radius=radius), "simhash-components")
     linked = group.join(first, group["node"] == first["fp"]).select("fp", "component", "first")
     lowest = linked.groupBy("component").agg(F.min("first").alias("lowest"))
     linked = linked.join(lowest, "component").select("fp", "lowest")
@@ -221,23 +225,30 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", le
 
 
 def keep_one(
-    docs: DataFrame, text: str = "text", key: str = "doc_id", size: int = shingles.SIZE, similarity: float = shingles.SIMILARITY
+    docs: DataFrame, text: str = "text", key: str = "doc_id", leaf: int = LEAF, size: int = SIZE, radius: int = RADIUS
 ) -> DataFrame:
-    """The rows whose key is the smallest of their group, all columns. A group is
-    connected by pairs of texts whose shingles of ``size`` words have a Jaccard
-    similarity of at least ``similarity``; fingerprints two bits apart would miss
-    most of them.
-
-    A row with a null key stays only where no key of its group is known.
-    Rows that share a key are one document: they stay or go together, and exact
-    repeats of one row (same key and text) stay once.
+    """One row of each component of ``near_duplicates``, all columns: that of the
+    smallest key, a null key only where the component knows no other.
+
+    Rows with one key and different texts are judged one by one; among those of
+    the smallest key the text with the smallest hash stays. Rows equal in key
+    and text are one row, of which any stays. A null or empty text has
+    fingerprint zero and links like any other; long texts are read whole. An
+    empty table gives an empty table. No name of another column clashes.
     """
-    named = shingles.groups(docs, text, key, size, similarity)
-    kept = named.where(F.col("key").eqNullSafe(F.col("kept.key"))).groupBy(F.col("key").alias("__kept")).count()
-    kept = materialize(kept, "simhash-kept")
+    picked = docs.select(F.col(key).alias("__key"), F.xxhash64(text).alias("__hash"), F.col(text).alias("__body"))
+    marked = with_fingerprint(picked, "__body", ("__key", "__hash"), size)
+    marked = materialize(marked.groupBy("fp", "__key", "__hash").agg(F.count("*").alias("copies")), "simhash-keys")
+    own = F.struct(F.col("__key").isNull().alias("void"), "__key", "__hash", "copies")
+    first = materialize(marked.groupBy("fp").agg(F.min(own).alias("own")), "simhash-distinct")
+    group = components(links(first.select("fp"), leaf, radius=radius), "simhash-components")
+    placed = first.join(group, first["fp"] == group["node"], "left").select(F.coalesce("component", "fp").alias("root"), "own")
+    kept = placed.groupBy("root").agg(F.min("own").alias("own"))
+    kept = materialize(kept.select("own.__key", "own.__hash", "own.copies"), "simhash-kept")
     # the kept keys grow with the documents: one shuffle on the key at every size
-    out = docs.join(kept.select("__kept").hint("merge"), docs[key].eqNullSafe(kept["__kept"]), "left_semi")
-    return out if kept.where("count > 1").isEmpty() else out.dropDuplicates([key, text])
+    same = docs[key].eqNullSafe(kept["__key"]) & F.xxhash64(docs[text]).eqNullSafe(kept["__hash"])
+    out = docs.join(kept.hint("merge"), same, "left_semi")
+    return out if kept.where("copies > 1").isEmpty() else out.dropDuplicates([key, text])
 
 
 def hex_digits(fp: Column) -> Column:

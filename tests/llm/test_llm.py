@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from gableframe.llm import common, decontaminate, html_text, itq, kd_shards, licenses, packing, quality, shingles, simhash, token_store, url_lists
+from gableframe.llm import common, decontaminate, html_text, itq, kd_shards, licenses, packing, quality, simhash, token_store, url_lists
 from gableframe.llm.tokens import Encoder
 
 DATA = "/root/testdata/sf0.001"
@@ -69,17 +69,6 @@ def test_simhash(spark, odd):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
 
 
-def plain_groups(rows):
-    """For each row the smallest first row linked at Jaccard 0.8 or more on five words."""
-    sets = []
-    for _, text in rows:
-        words = (text or "").lower().split()
-        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4) if words else 0)})
-    close = lambda x, y: x == y or (len(x & y) >= 0.8 * len(x | y) > 0)
-    near = [(i, j) for i in range(len(rows)) for j in range(i + 1) if close(sets[i], sets[j])]
-    return common.forest(len(rows), *np.array(near).T)
-
-
 def near_copies(rng, words, n, changes):
     """Copies of a text with single words replaced in other places each."""
     out = []
@@ -91,24 +80,35 @@ def near_copies(rng, words, n, changes):
     return out
 
 
-@pytest.mark.parametrize("crowd", [4, 0])
-def test_near_copies(spark, crowd, monkeypatch):
-    """Copies of 0.8 to 0.95 on five words, many bits apart, and some just below 0.8."""
+@pytest.mark.parametrize("size, radius", [(3, 2), (5, 0)])
+def test_keep_one(spark, size, radius):
+    """Exact copies, copies with words replaced, chains, repeated and null keys, clashing
+    names: one row of each component, against brute force."""
     rng, rows = random.Random(9), []
     for i in range(40):
         words = [f"w{rng.randint(0, 3000)}" for _ in range(rng.randint(150, 400))]
-        rows.append(" ".join(words))
-        rows += near_copies(rng, words, 2, rng.choice([1, 2, 3, 5, 8]))
-    crowded = [f"w{rng.randint(0, 3000)}" for _ in range(200)]
+        rows += [" ".join(words)] * 2 + near_copies(rng, words, 2, rng.choice([1, 2, 3, 5, 8]))
+    crowded = [f"w{rng.randint(0, 3000)}" for _ in range(2000)]
     rows += near_copies(rng, crowded, 80, 2) + ["", None, "a b", "A  b"]
     rng.shuffle(rows)
-    rows = list(enumerate(rows))
-    fps, label = [simhash.fingerprint(t) for _, t in rows], plain_groups(rows)
-    assert sum(label[i] != i and (fps[i] ^ fps[label[i]]).bit_count() > 2 for i in range(len(rows))) > 40
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    monkeypatch.setattr(shingles.groups, "__defaults__", (*shingles.groups.__defaults__[:-1], crowd))
-    got = sorted(r.doc_id for r in simhash.keep_one(docs).collect())
-    assert got == sorted(set(label.tolist()))
+    rows = [(rng.choice([None, i, i, i // 2]), t) for i, t in enumerate(rows)]
+    rows += rows[:5]
+    fps = [simhash.fingerprint(t, size) for _, t in rows]
+    near = [(i, j) for i in range(len(rows)) for j in range(i + 1) if (fps[i] ^ fps[j]).bit_count() <= radius]
+    label = common.forest(len(rows), *np.array(near).T)
+    groups = {r: [rows[i] for i in range(len(rows)) if label[i] == r] for r in set(label.tolist())}
+    assert max(map(len, groups.values())) > (20 if radius else 1) and len(groups) < len(set(rows))
+    table = spark.createDataFrame([(k, t, n, n, n) for n, (k, t) in enumerate(rows)], "doc_id long, text string, fp long, copies long, __key long")
+    kept = simhash.keep_one(table, size=size, radius=radius)
+    assert kept.columns == table.columns
+    left = [(r.doc_id, r.text) for r in kept.collect()]
+    assert len(left) == len(set(left)) == len(groups)
+    for members in groups.values():
+        (one,) = set(members) & set(left)
+        assert one[0] == min((k for k, _ in members if k is not None), default=None)
+    assert simhash.keep_one(table.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        simhash.keep_one(table, radius=3)
 
 
 def test_simhash_crowds(spark):
