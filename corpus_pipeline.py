@@ -22,9 +22,9 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, that of the smallest id: texts
-    whose shingles of five words have a Jaccard similarity of 0.8 or more."""
-    return simhash.keep_one(docs, size=5, similarity=0.8)
+    """One document of each group of near copies stays, that of the smallest id: groups
+    are connected by fingerprints of three-word shingles at most two bits apart."""
+    return simhash.keep_one(docs, size=3, radius=2)
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
