@@ -207,8 +207,9 @@ def write_store(docs: DataFrame, folder: str, tokenizer: str, cfg: Settings = Se
 
         system.create_dir(path, recursive=True)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            # so many that the encoder fills its groups: it learns the new words of a group together
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
                 keys.extend(part.column(0).to_pylist())
                 ids.extend(new := encode(part.column(1).to_pylist(), cfg.end_id))
                 tokens += sum(map(len, new)) // 4
