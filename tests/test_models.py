@@ -18,6 +18,7 @@ from gableframe.models.candidates import (
     whole_model,
 )
 from gableframe.models import tuning
+from gableframe.plans import catalog
 from gableframe.models.tuning import best_trial, booster_parameters, check_tunable, search_space, tune
 
 CFG = Settings().with_(
@@ -144,6 +145,45 @@ def test_the_dearest_fit_begins_first(prepared, monkeypatch):
     assert begun == ["gbt", "ridge", "dummy"] and list(models) == ["ridge", "dummy", "gbt"]
 
 
+def test_all_candidates_are_fitted_at_full_size(spark, data, monkeypatch):
+    """The query once fitted 5 trees of depth 6 and 8 rounds."""
+    asked = []
+
+    def asked_for(prepared, cfg, names):
+        asked.extend(candidates.build_estimator(name, cfg.train, prepared.stats) for name in names)
+        return {}, spark.createDataFrame([("dummy", "eval", "rmse", 1.0)], "model string, split string, metric string, value double")
+
+    monkeypatch.setattr(catalog, "_features", lambda *_: (data[0], None))
+    monkeypatch.setattr(catalog.learners, "train_candidates", asked_for)
+    assert catalog.all_candidates(spark, "").count() == 1
+    forest, boost = asked[3:]
+    assert len(asked) == 5
+    assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getMaxBins()) == (200, 30, 256)
+    assert (boost.getMaxIter(), boost.getMaxDepth(), boost.getMaxBins(), boost.getStepSize()) == (500, 6, 256, 0.05)
+
+
+def test_a_forest_of_parts_is_one_model(prepared, data, tmp_path, monkeypatch):
+    train, learner = prepared.train(), candidates.build_estimator("random_forest", CFG.train, prepared.stats)
+    alone = learner.fit(train)
+    same = candidates.fit_forest(learner, train)
+    told = [[t.toDebugString.split("\n", 1)[1] for t in model.trees] for model in (same, alone)]
+    assert told[0] == told[1]
+    monkeypatch.setattr(candidates, "FOREST_PART", 2)
+    made = candidates.fit_forest(learner, train)
+    told = [t.toDebugString.split("\n", 1)[1] for t in made.trees]
+    assert len(told) == len(set(told)) == made.getNumTrees == 5 and made.numFeatures == alone.numFeatures
+    assert made.getMaxDepth() == CFG.train.forest_depth and sum(made.featureImportances) == pytest.approx(1)
+    rows = [r[0] for r in train.select("features").limit(20).collect()]
+    got = [made.predict(r) for r in rows]
+    assert got == pytest.approx([np.mean([t.predict(r) for t in made.trees]) for r in rows])
+    whole_model(prepared, [made]).write().overwrite().save(str(tmp_path / "forest"))
+    again = PipelineModel.load(str(tmp_path / "forest"))
+    check_features(again, prepared.columns[:3])
+    assert again.stages[-1].getNumTrees == 5 and [again.stages[-1].predict(r) for r in rows] == got
+    found = [r.prediction for r in again.transform(data[0]).orderBy("row_id").select("prediction").collect()]
+    assert found == [r.prediction for r in whole_model(prepared, [made]).transform(data[0]).orderBy("row_id").select("prediction").collect()]
+
+
 def test_predictions_scale_once(prepared):
     fitted = {name: fit_stages(name, prepared, CFG.train) for name in ("linear_regression", "ridge")}
     found = predict_all(prepared, fitted)
